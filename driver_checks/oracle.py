@@ -104,7 +104,8 @@ def newest(lookback: str | None = "30", source: str = "t") -> str:
     where = f"WHERE TimeGenerated >= {AS_OF_SQL} - INTERVAL '{lookback}' DAY" if lookback else ""
     return (
         f"SELECT * FROM {source} {where} QUALIFY ROW_NUMBER() OVER (PARTITION BY Id ORDER BY TimeGenerated DESC, "
-        "TimeCreated DESC NULLS LAST, Arn DESC) = 1"
+        "TimeCreated DESC NULLS LAST, SeverityInt DESC NULLS LAST, ActivityType DESC, SchemaVersion DESC, "
+        "AccountId DESC, Region DESC, Arn DESC) = 1"
     )
 
 

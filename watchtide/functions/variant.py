@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from watchtide.functions.text import text
 
 
+NUMBER_KINDS = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
+
+
 class Read(NamedTuple):
     """One typed member of a variant column: output name, source column, path below it, SQL type."""
 
@@ -42,25 +45,20 @@ def part(value: Column, path: str) -> Column:
     return F.try_variant_get(value, "$" + path, "variant")
 
 
-def is_object(value: Column) -> Column:
-    """True for a JSON object. Reading any other kind as a struct gives null."""
-    return F.try_variant_get(value, "$", "struct<id:variant>").isNotNull()
+def is_object(value: Column, path: str = "") -> Column:
+    """True for a JSON object at ``path``. Reading any other kind as a struct gives null, and nothing is copied."""
+    return F.try_variant_get(value, "$" + path, "struct<id:variant>").isNotNull()
 
 
 def is_number(value: Column) -> Column:
     """True for a JSON number: text and booleans that could be cast to one do not count."""
-    kind = F.schema_of_variant(value)
-    return F.coalesce(F.rlike(kind, F.lit("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)")), F.lit(False))
+    return F.coalesce(F.rlike(F.schema_of_variant(value), F.lit(NUMBER_KINDS)), F.lit(False))
 
 
 def is_string(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
-def is_array(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>").isNotNull()
-
-
 def has_content(value: Column) -> Column:
     """False for an absent, null, empty or zero value, true for anything else."""
     return value.isNotNull() & ~F.to_json(value).isin("null", "{}", "[]", '""', "0", "0.0", "false")

@@ -70,7 +70,7 @@ def explode_batches(df: DataFrame) -> DataFrame:
     error = (
         F.when(event.isNotNull() & ~is_object(event), F.lit("event must be an object"))
         .when(in_batch & (F.coalesce(F.size(members), F.lit(-1)) < 1), F.lit("findings must be a non-empty array"))
-        .when(in_batch & ~F.forall(members, is_object), F.lit("every finding must be an object"))
+        .when(in_batch & ~F.forall(members, lambda member: is_object(member)), F.lit("every finding must be an object"))
     )
     checked = df.withColumn("contract_error", _first_error(error))
     whole = F.array(event)
@@ -86,18 +86,17 @@ def unwrap_events(df: DataFrame) -> DataFrame:
     source = part(event, ".source")
     sender = F.coalesce(F.try_variant_get(event, "$.source", "string"), F.lit(EVENT_SOURCE))
     bare = part(event, ".schemaVersion").isNotNull()
+    holds_object = is_object(event, ".detail")
     problem = first_match(
         [
             (enveloped & source.isNotNull() & (sender != EVENT_SOURCE), "event source must be " + EVENT_SOURCE),
-            (enveloped & ~F.coalesce(is_object(detail), F.lit(False)), "event detail must be an object"),
+            (enveloped & ~holds_object, "event detail must be an object"),
             (~enveloped & ~bare, "unrecognized event format"),
         ],
         "",
     )
     error = F.when(event.isNotNull(), F.nullif(problem, F.lit("")))
-    return df.withColumns(
-        {
-            "finding": F.when(enveloped, detail).when(bare, event),
-            "contract_error": _first_error(error),
-        }
-    )
+    finding = F.when(enveloped, detail).when(bare, event)
+    # A generator keeps later filters from being pushed below it, where every use of the finding would unwrap it anew.
+    unwrapped = F.struct(finding.alias("finding"), _first_error(error).alias("contract_error"))
+    return df.select(*[c for c in df.columns if c != "contract_error"], F.inline(F.array(unwrapped)))

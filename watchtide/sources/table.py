@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DateType,
     IntegerType,
@@ -43,8 +43,11 @@ PARTITION_COLUMN = "GeneratedDate"
 STORED = StructType([*FINDINGS.fields, StructField(PARTITION_COLUMN, DateType())])
 
 
-def to_findings_table(df: DataFrame) -> DataFrame:
-    """The 14 table columns of a ``finding``. Severity loses its fraction; the newest-copy time is ``updatedAt``."""
+def to_findings_table(df: DataFrame, *carried: str | Column) -> DataFrame:
+    """The 14 table columns of a ``finding``, then the carried ones.
+
+    Severity loses its fraction; the newest-copy time is ``updatedAt``.
+    """
     finding = F.col("finding")
     service = part(finding, ".service")
     partition = F.when(part(finding, ".partition").isNull(), F.lit("aws")).otherwise(member(finding, ".partition"))
@@ -58,7 +61,7 @@ def to_findings_table(df: DataFrame) -> DataFrame:
         "Region": member(finding, ".region"),
         "ResourceDetails": part(finding, ".resource"),
         "SchemaVersion": member(finding, ".schemaVersion"),
-        "ServiceDetails": F.when(is_object(service), service)
+        "ServiceDetails": F.when(is_object(finding, ".service"), service)
         .when(has_content(service), service)
         .otherwise(F.parse_json(F.lit("{}"))),
         "Severity": F.try_variant_get(finding, "$.severity", "double").try_cast("int"),
@@ -66,7 +69,7 @@ def to_findings_table(df: DataFrame) -> DataFrame:
         "TimeGenerated": F.try_variant_get(finding, "$.updatedAt", "timestamp"),
         "Title": nullable_text(finding, ".title"),
     }
-    return df.select(*[columns[name].alias(name) for name in FINDINGS.names])
+    return df.select(*[columns[name].alias(name) for name in FINDINGS.names], *carried)
 
 
 def to_flat_record(df: DataFrame, default_region: str = "") -> DataFrame:
