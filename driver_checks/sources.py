@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from driver_checks.derived import AS_OF, FINDING, attributes_sql, json_sql
 from watchtide.operators.base import base_findings
 from watchtide.operators.geo import GeoRanges
-from watchtide.sources.exports import explode_batches, parse_lines, unwrap_events
+from watchtide.sources.exports import explode_batches, read_findings, unwrap_events
 from watchtide.sources.table import findings, to_findings_table, write_findings
 from watchtide.storage import work_folder
 
@@ -96,8 +96,8 @@ def mixed_export(spark: SparkSession, sf_dir: str) -> str:
 
 
 def unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every copy parsed and unwrapped, without the contract check: what a vendor connector would store."""
-    return unwrap_events(explode_batches(parse_lines(finding_lines(spark, sf_dir))))
+    """Every copy read, parsed and unwrapped, without the contract check: what a vendor connector would store."""
+    return unwrap_events(explode_batches(read_findings(spark, finding_export(spark, sf_dir))))
 
 
 def table_path(spark: SparkSession, sf_dir: str) -> str:

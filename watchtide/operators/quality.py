@@ -18,8 +18,14 @@ def quality_categories(
     """First failing check of each copy, ``Valid`` when none fails. Copies are not collapsed here."""
     severity = F.col("Severity")
 
-    def lacks_content(name: str):
-        return F.col(name).isNull() | canonical_json(F.col(name)).isin("null", "{}")
+    def lacks_content(name: str, *usual: str):
+        """Null or ``{}``. A usual member settles it; only documents without one are rendered to find out."""
+        document = F.col(name)
+        settled = F.lit(False)
+        for path in usual:
+            settled = settled | F.try_variant_get(document, "$" + path, "string").isNotNull()
+        rendered = document.isNull() | canonical_json(document).isin("null", "{}")
+        return F.when(settled, F.lit(False)).otherwise(rendered)
 
     # Categories in the order they are tested.
     checks = [
@@ -29,8 +35,8 @@ def quality_categories(
         (is_empty(F.col("AccountId")), "Missing AccountId"),
         (is_empty(F.col("Region")), "Missing Region"),
         (F.col("TimeCreated").isNull() | F.col("TimeGenerated").isNull(), "Missing Timestamp"),
-        (lacks_content("ResourceDetails"), "Missing ResourceDetails"),
-        (lacks_content("ServiceDetails"), "Missing ServiceDetails"),
+        (lacks_content("ResourceDetails", ".resourceType"), "Missing ResourceDetails"),
+        (lacks_content("ServiceDetails", ".serviceName", ".detectorId"), "Missing ServiceDetails"),
         (is_empty(F.col("SchemaVersion")), "Missing Schema Version"),
         (~starts_with(F.col("SchemaVersion"), VERSION_PREFIX), "Unsupported Schema Version"),
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 # Default limits of one delivery batch.
@@ -32,39 +32,50 @@ def pack_batches(
         "size", F.octet_length("record").cast("long")
     )
 
-    def pack(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lane, batch_no, held, held_bytes = 0, 0, [], 2
+    def pack(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cuts the stream of records where the next one would not fit. Only the open batch is carried along."""
+        lane, batch_no, records, sizes = 0, 0, None, None
 
-        def closed() -> tuple:
-            return lane, batch_no, len(held), held_bytes, held
+        def cut(bounds: list[int]) -> pa.RecordBatch:
+            edges = np.asarray(bounds)
+            with_commas = np.concatenate(([0], np.cumsum(sizes + 1)))[edges]
+            count = len(bounds) - 1
+            return pa.record_batch(
+                [
+                    pa.array(np.full(count, lane, "int32")),
+                    pa.array(np.arange(batch_no, batch_no + count, dtype="int64")),
+                    pa.array(np.diff(edges).astype("int32")),
+                    pa.array((np.diff(with_commas) + 1).astype("int64")),
+                    pa.ListArray.from_arrays(pa.array(edges.astype("int32")), records[: bounds[-1]]),
+                ],
+                names=["lane", "batch_no", "rows", "bytes", "records"],
+            )
 
         for chunk in chunks:
-            records, sizes = chunk["record"].to_numpy(), chunk["size"].to_numpy()
-            if len(records) == 0:
+            if chunk.num_rows == 0:
                 continue
-            lane = int(chunk["lane"].iloc[0])
-            if int(sizes.max()) + 2 > max_bytes:
+            lane = chunk.column("lane")[0].as_py()
+            new_records, new_sizes = chunk.column("record"), chunk.column("size").to_numpy()
+            if int(new_sizes.max()) + 2 > max_bytes:
                 raise ValueError("a single record exceeds the batch byte limit")
-            ends = np.cumsum(sizes + 1)
-            done, start, total = [], 0, len(records)
-            while start < total:
+            records = new_records if records is None else pa.concat_arrays([records, new_records])
+            sizes = new_sizes if sizes is None else np.concatenate([sizes, new_sizes])
+            ends, bounds = np.cumsum(sizes + 1), [0]
+            while True:
+                start = bounds[-1]
                 before = ends[start - 1] if start else 0
-                room = max_bytes - held_bytes + (0 if held else 1)
-                fits = int(np.searchsorted(ends, before + room, side="right")) - start
-                take = min(fits, max_rows - len(held), total - start)
-                if take > 0:
-                    gained = int(ends[start + take - 1] - before) - (0 if held else 1)
-                    held = held + records[start : start + take].tolist()
-                    held_bytes += gained
-                    start += take
-                if start < total:
-                    done.append(closed())
-                    batch_no, held, held_bytes = batch_no + 1, [], 2
-            yield pd.DataFrame(done, columns=["lane", "batch_no", "rows", "bytes", "records"])
-        if held:
-            yield pd.DataFrame([closed()], columns=["lane", "batch_no", "rows", "bytes", "records"])
+                stop = min(int(np.searchsorted(ends, before + max_bytes - 1, side="right")), start + max_rows)
+                if stop >= len(records):
+                    break
+                bounds.append(stop)
+            if len(bounds) > 1:
+                yield cut(bounds)
+                batch_no += len(bounds) - 1
+                records, sizes = records.slice(bounds[-1]), sizes[bounds[-1] :]
+        if records is not None:
+            yield cut([0, len(records)])
 
-    return encoded.mapInPandas(pack, PACKED)
+    return encoded.mapInArrow(pack, PACKED)
 
 
 def batch_summary(batches: DataFrame) -> DataFrame:
