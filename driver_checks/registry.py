@@ -535,7 +535,7 @@ def _(spark, sf):
     "c1d_finding_json",
     O.with_base(
         "SELECT Id AS id, Arn AS arn, ActivityType AS kind, CAST(SeverityInt AS VARCHAR) || '.0' AS severity, "
-        "rtype AS resource_type, atype AS action_type, title FROM b"
+        "rtype AS resource_type, atype AS action_type, Title AS title FROM b"
     ),
 )
 def _(spark, sf):
