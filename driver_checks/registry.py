@@ -1254,7 +1254,7 @@ def _(spark, sf):
 
 def _ingested(spark, sf) -> tuple[str, str]:
     table, quarantine = work_folder(spark, "table"), work_folder(spark, "quarantine")
-    lines = exports.stream_findings(spark, S.mixed_export(spark, sf), glob="*.txt.gz", max_files=2)
+    lines = exports.stream_findings(spark, S.mixed_export(spark, sf), glob="*.txt.gz", max_files=2, partitions=8)
     ingest.start_ingest(lines, table, quarantine, work_folder(spark, "checkpoint")).awaitTermination()
     return table, quarantine
 

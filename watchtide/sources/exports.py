@@ -42,8 +42,12 @@ def stream_findings(
     glob: str = EXPORT_GLOB,
     max_files: int | None = 1000,
     max_bytes: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The same files as a stream: each new file is taken once, a bounded amount per trigger."""
+    """The same files as a stream: each new file is taken once, a bounded amount per trigger.
+
+    ``partitions`` spreads the lines of a trigger that has fewer gzip files than there are cores.
+    """
     reader = (
         spark.readStream.schema("raw STRING").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     )
@@ -51,7 +55,8 @@ def stream_findings(
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     elif max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return parse_lines(reader.text(path).filter(F.trim("raw") != ""))
+    lines = reader.text(path).filter(F.trim("raw") != "")
+    return parse_lines(lines.repartition(partitions) if partitions else lines)
 
 
 def _first_error(*errors: Column) -> Column:

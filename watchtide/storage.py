@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="watchtide-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
     Only a session without ``spark.checkpoint.dir``, as in a local test, gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="watchtide-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
