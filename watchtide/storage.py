@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="watchtide-")
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or else a folder in the warehouse.
+
+    Never a folder of one machine: other executors would not see its files.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+    """A new folder below the shared one."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back, which cuts its lineage.
 
-    Only a session without ``spark.checkpoint.dir``, as in a local test, gets a folder of its own.
+    The files outlive lost executors. They stay until the shared folder is cleaned or ``remove_folder`` is called.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _file_system(spark: SparkSession, path: str):
