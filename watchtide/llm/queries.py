@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from watchtide.llm.decontaminate import contained_items
+from watchtide.llm.line_dedup import dedup_lines
+from watchtide.llm.mixing import mixed
+from watchtide.llm.oracle import ORACLE  # noqa: F401
 from watchtide.llm.neardup import NearDup, near_duplicates
+from watchtide.llm.quality import fit, with_scores
+from watchtide.llm.secrets import KNOWN, with_secrets
+from watchtide.llm.sharding import grown, planned, with_shards, with_slots
+from watchtide.llm.topk import top_k
+from watchtide.llm.url_filter import Rule, url_verdicts
+from watchtide.llm.warc import archive, read_warc
 
 QUERIES = {}
-ORACLE: dict[str, str] = {}
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,20 +33,88 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(given(spark, sf_dir, "documents"), NearDup(shingle=2))
 
 
-ORACLE["op3_near_duplicates"] = r"""
-WITH RECURSIVE words AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
-sets AS (
-    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
-shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
-links AS (
-    SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
-        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
-    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-reach(doc_id, other) AS (
-    SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.other = l.u)
-SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
-FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
-"""
+def _spans(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_secrets(given(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
+    base = F.filter("secrets", lambda s: s["rank"] < len(KNOWN))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind, *_ in KNOWN],
+        F.sha2(_spans(base).cast("binary"), 256).alias("base_sha256"),
+        _spans(F.col("secrets")).alias("spans"),
+    )
+
+
+def held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    model = fit(docs, given(spark, sf_dir, "labels"), ~held_out())
+    return with_scores(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = planned(16)
+    sharded = with_shards(given(spark, sf_dir, "documents"), tree, grown(tree))
+    return with_slots(sharded.select("doc_id", "size", "text_crc32", "law", "shard", "grown_shard"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contained_items(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "words", "covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(given(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_warc(spark, archive(given(spark, sf_dir, "pages")))
+    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).cast("bigint")
+    return records.select(
+        page("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("bigint"), "payload_bytes").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(given(spark, sf_dir, "documents"), keep=["doc_id"]).drop("copies")
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(given(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+#: The listed rules.
+URL_RULES = (
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+)
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the quality label of the document that has its number: the tables link them no other way."""
+    outcomes = given(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return url_verdicts(given(spark, sf_dir, "pages"), outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
