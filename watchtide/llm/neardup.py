@@ -100,20 +100,20 @@ def _signatures(rule: NearDup, kind: str):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, text in zip(batch["id"], batch["text"]):
+            for key, version, text in zip(batch["id"], batch["version"], batch["text"]):
                 shingles = shingle_set(text, rule.shingle)
                 if not len(shingles):
-                    rows.append((key, 0, None, None, *[None] * _SKETCH_LONGS))
+                    rows.append((key, version, 0, None, None, *[None] * _SKETCH_LONGS))
                     continue
                 samples = minhash(shingles, rule.hashes)
                 buckets = band.copy()
                 for i in range(rule.rows):
                     buckets = mixed(buckets + samples[i :: rule.rows])
                 name = xxhash.xxh3_128_digest(shingles.tobytes())
-                rows.append((key, len(shingles), name, buckets.view(np.int64), *odd_sketch(samples).tolist()))
-            yield pd.DataFrame(rows, columns=["id", "n", "name", "buckets", *_SKETCH])
+                rows.append((key, version, len(shingles), name, buckets.view(np.int64), *odd_sketch(samples).tolist()))
+            yield pd.DataFrame(rows, columns=["id", "version", "n", "name", "buckets", *_SKETCH])
 
-    return of, f"id {kind}, n bigint, name binary, buckets array<bigint>, " + ", ".join(f"{s} bigint" for s in _SKETCH)
+    return of, f"id {kind}, version bigint, n bigint, name binary, buckets array<bigint>, " + ", ".join(f"{s} bigint" for s in _SKETCH)
 
 
 def _sets(texts: DataFrame, rule: NearDup) -> DataFrame:
@@ -237,7 +237,7 @@ def _late_links(members: DataFrame, labels: DataFrame, features: DataFrame, text
 
 
 def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id``, ``kept`` and ``text_hash`` to tell texts apart.
 
     Linked are texts whose shingle sets overlap to at least ``rule.percent`` of their union; ``component_id`` is the
     least id that can be reached over links, and ``kept`` marks the rows that bear it. Null texts, and texts without
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_i
     bounded_batches(spark)
     texts = docs.select(docs[id].alias("id"), docs[text].alias("text"))
     of, schema = _signatures(rule, docs.schema[id].dataType.simpleString())
-    signatures = stored(texts.mapInPandas(of, schema), "signatures")
+    signatures = stored(texts.withColumn("version", F.xxhash64("text")).mapInPandas(of, schema), "signatures")
     named = signatures.filter("id is not null and n > 0")
     nodes = named.groupBy("name").agg(F.min("id").alias("node"))
     features = stored(
@@ -275,11 +275,27 @@ def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_i
     late = _late_links(members, stars, features, texts, rule)
     roots = components(stars.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(late))
     placed = nodes.join(roots, "node", "left").select("name", F.coalesce("root", "node").alias("component"))
-    found = signatures.select("id", "n", "name").join(placed, "name", "left")
+    found = signatures.select("id", "version", "n", "name").join(placed, "name", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return found.select(
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        F.col("version").alias("text_hash"),
     )
+
+
+def deduplicated(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps; of rows with one id and text only one.
+
+    Rows without an id all stay.
+    """
+    found = stored(near_duplicates(docs, rule, id, text).select(F.col(id).alias("_id"), F.col("text_hash").alias("_hash"), "kept"), "classes")
+    same = (docs[id] == F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_hash"))
+    kept = docs.join(found.filter("not kept").distinct(), same, "left_anti")
+    again = stored(found.filter("kept and _id is not null").groupBy("_id", "_hash").count().filter("count > 1").select("_id", "_hash"), "again")
+    if again.isEmpty():
+        return kept
+    once = docs.join(again, same, "left_semi").withColumn("_hash", F.xxhash64(docs[text])).dropDuplicates([id, "_hash"]).select(*docs.columns)
+    return kept.join(again, same, "left_anti").unionByName(once)

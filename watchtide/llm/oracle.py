@@ -44,7 +44,7 @@ base AS ({" UNION ALL ".join(_spans_sql(k, r, p, g, n) for r, (k, p, g, n) in en
 extra AS ({" UNION ALL ".join(_entropy_sql(len(_BASE) + i, c) for i, c in enumerate(ENTROPY))}),
 spans AS (SELECT * FROM base UNION ALL
     SELECT * FROM extra e WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = e.doc_id AND b.start <= e.start AND b.stop >= e.stop))
-SELECT d.doc_id, count_if(kind = 'assign')::BIGINT AS n_assign, count_if(kind = 'access')::BIGINT AS n_access, count_if(kind = 'hex')::BIGINT AS n_hex,
+SELECT d.doc_id, coalesce(count_if(kind = 'assign'), 0)::BIGINT AS n_assign, coalesce(count_if(kind = 'access'), 0)::BIGINT AS n_access, coalesce(count_if(kind = 'hex'), 0)::BIGINT AS n_hex,
     sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < {len(_BASE)}), '')) AS base_sha256,
     coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank), '') AS spans
 FROM docs d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id
