@@ -7,6 +7,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from driver_checks.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,7 +17,7 @@ def oracle():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(spark, oracle, name):
     df = entry.queries()[name](spark, SF)
     text = df._jdf.queryExecution().executedPlan().toString()
@@ -30,4 +31,4 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"f17_daily_volume"}
+    assert set(QUERIES) - set(ORACLE) == {"f17_daily_volume"}
