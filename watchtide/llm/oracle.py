@@ -143,8 +143,8 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
 
 
 def _strength_sql(table: str) -> str:
-    """How much the prior of a level weighs: 1000 at most, 1 at least."""
-    return f"""(SELECT CASE WHEN k < 2 OR bad = 0 OR bad = n OR alike <= 1 / 1001.0::DOUBLE THEN 1000.0::DOUBLE ELSE greatest(1.0::DOUBLE, (1 - alike) / alike) END FROM (
+    """How much the prior of a level weighs: 1000 at most, 2 at least."""
+    return f"""(SELECT CASE WHEN k < 2 OR bad = 0 OR bad = n OR alike <= 1 / 1001.0::DOUBLE THEN 1000.0::DOUBLE ELSE greatest(2.0::DOUBLE, (1 - alike) / alike) END FROM (
     SELECT *, CASE WHEN room > 0 THEN spread / room ELSE 0 END AS alike FROM (
     SELECT *, (bb - mean * bad) / (mean * (1 - mean)) - (k - 1) AS spread, n - nn / n - (k - 1) AS room FROM (
     SELECT *, bad / n AS mean FROM (
@@ -170,7 +170,7 @@ by_domain AS (SELECT d.domain, d.suffix, (d.bad + p.m * t.d) / (d.n + t.d) AS m
 by_host AS (SELECT x.host, x.n, t.h, (x.bad + p.m * t.h) / (x.n + t.h) AS m FROM hosts x JOIN by_domain p USING (domain, suffix), strengths t)
 SELECT page_id, host, path, CASE {" ".join(f"WHEN {fit} THEN '{h + p}'" for fit, (_, h, p) in zip(_FITS, _RULES))} END AS rule,
     CASE {" ".join(f"WHEN {fit} THEN '{v}'" for fit, (v, _, _) in zip(_FITS, _RULES))}
-        WHEN m - 1.5::DOUBLE * sqrt(m * (1 - m) / (n + h + 1)) > 0.2 THEN 'block' ELSE 'allow' END AS verdict
+        WHEN m - 2.0::DOUBLE * sqrt(m * (1 - m) / (n + h + 1)) > 0.2 THEN 'block' ELSE 'allow' END AS verdict
 FROM urls JOIN by_host USING (host)
 """
 

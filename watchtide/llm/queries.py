@@ -30,7 +30,7 @@ def query(function):
 
 @query
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(given(spark, sf_dir, "documents"), NearDup(shingle=2))
+    return near_duplicates(given(spark, sf_dir, "documents"), NearDup(shingle=2)).drop("text_hash")
 
 
 def _spans(spans: Column) -> Column:

@@ -31,10 +31,11 @@ class Rule:
 
 @dataclass(frozen=True)
 class Reputation:
-    """Share of bad pages that blocks a host, deviations below the posterior mean, and the priors' strength at most."""
+    """Share of bad pages that blocks a host, deviations below the posterior mean, and bounds of the priors' strength."""
 
     limit: float = 0.2
-    deviations: float = 1.5
+    deviations: float = 2.0
+    weakest: float = 2.0
     strongest: float = 1000.0
 
 
@@ -69,18 +70,19 @@ def _parents(host: Column) -> tuple[Column, Column]:
     return last(width + 1), last(width)
 
 
-def _strength(level: DataFrame, most: float) -> float:
+def _strength(level: DataFrame, rule: Reputation) -> float:
     """How many pages the prior of a level weighs, from the spread of its shares beyond binomial chance."""
     one = level.filter("n > 0").agg(
         F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum(F.col("n").cast("double") * F.col("n")).alias("nn"), F.sum(F.col("bad").cast("double") * F.col("bad") / F.col("n")).alias("bb")
     ).first()
+    most = rule.strongest
     if one.k < 2 or not 0 < one.bad < one.n:
         return most
     mean = one.bad / one.n
     spread = (one.bb - mean * one.bad) / (mean * (1 - mean)) - (one.k - 1)
     room = one.n - one.nn / one.n - (one.k - 1)
     alike = spread / room if room > 0 else 0.0
-    return most if alike <= 1 / (1 + most) else max(1.0, (1 - alike) / alike)
+    return most if alike <= 1 / (1 + most) else max(rule.weakest, (1 - alike) / alike)
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, rule: Reputation = Reputation()) -> DataFrame:
@@ -98,7 +100,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, rule: Reputation = Re
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     everything = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     of_all = (everything.bad + 0.5) / (everything.n + 1.0)
-    by_suffix, by_domain, by_host = (_strength(x, rule.strongest) for x in (suffixes, domains, hosts))
+    by_suffix, by_domain, by_host = (_strength(x, rule) for x in (suffixes, domains, hosts))
     shrunk = lambda prior, strength: (F.col("bad") + prior * strength) / (F.col("n") + strength)
     suffixes = suffixes.select("suffix", shrunk(F.lit(of_all), by_suffix).alias("suffix_mean"))
     domains = domains.join(suffixes, "suffix").select("domain", "suffix", shrunk(F.col("suffix_mean"), by_domain).alias("domain_mean"))
