@@ -39,25 +39,25 @@ def test_golden_rows(spark, finding, small_finding):
     rows = base(spark, finding, envelope(small_finding))
     main = {r.FindingId: r for r in rows.collect()}
     for r in main.values():
-        assert (r.Severity, r.SeverityLevel, r.ResourceType, r.ActionType) == (8.0, "High", "Instance", "NETWORK_CONNECTION")
-        assert (r.DataQualityScore, r.ParserVersion, str(r.EventTime)) == (100, "1.5.0", "2026-07-22 18:42:17")
+        assert (r.Severity, r.SeverityLevel, r.ResourceType, r.ActionType) == (7.0, "High", "Instance", "NETWORK_CONNECTION")
+        assert (r.DataQualityScore, r.ParserVersion, str(r.EventTime)) == (100, "1.5.0", "2025-03-18 04:06:00.500000")
     raw = json.loads(main["f1"].RawJson)
     assert list(raw) == sorted(raw, key=lambda k: list(raw).index(k)) and len(raw) == 14
-    assert raw["resource"] == finding["resource"] and raw["service"] == finding["service"] and raw["severity"] == 8.0
+    assert raw["resource"] == finding["resource"] and raw["service"] == finding["service"] and raw["severity"] == 7.0 and raw["updatedAt"] == "2025-03-18T19:30:45.123456Z"
     network = {r.FindingId: r for r in network_findings(rows).collect()}
-    assert (network["f1"].NetworkRiskScore, network["f2"].NetworkRiskScore) == (60, 50)
-    assert (network["f1"].SecurityGroupIds, network["f2"].SecurityGroupIds) == ("sg-1", "")
-    assert {r.ThreatCategory for r in network.values()} == {"Backdoor"}
-    assert {r.TrafficDirection for r in network.values()} == {"Outbound"}
+    assert (network["f1"].NetworkRiskScore, network["f2"].NetworkRiskScore) == (70, 60)
+    assert (network["f1"].SecurityGroupIds, network["f2"].SecurityGroupIds) == ("sg-web,sg-ops", "")
+    assert {r.ThreatCategory for r in network.values()} == {"Trojan"}
+    assert {r.TrafficDirection for r in network.values()} == {"Inbound"}
     assert network["f2"].IsBlocked is None and network["f1"].EnrichedCountry == ""
     sessions = {r.NetworkSessionId: r for r in network_sessions(network_findings(rows)).collect()}
     for r in sessions.values():
-        assert (r.SrcIpAddr, r.SrcPortNumber, r.DstIpAddr, r.DstPortNumber) == ("10.0.1.10", 49152, "203.0.113.10", 443)
-        assert (r.NetworkProtocol, r.NetworkApplicationProtocol, r.ThreatRiskLevel) == ("TCP", "HTTPS", 80)
-        assert (r.DvcOs, r.ASIMCompliance, r.EventOriginalSeverity) == ("Linux", "Compliant", "8.0")
-    assert (sessions["f1"].DvcInterface, sessions["f2"].DvcInterface) == ("eni-1", "")
+        assert (r.SrcIpAddr, r.SrcPortNumber, r.DstIpAddr, r.DstPortNumber) == ("172.31.5.20", 40000, "198.18.7.21", 53)
+        assert (r.NetworkProtocol, r.NetworkApplicationProtocol, r.ThreatRiskLevel) == ("UDP", "DNS", 80)
+        assert (r.DvcOs, r.ASIMCompliance, r.EventOriginalSeverity) == ("Linux", "Compliant", "7.0")
+    assert (sessions["f1"].DvcInterface, sessions["f2"].DvcInterface) == ("eni-20", "")
     bag = json.loads(sessions["f1"].AdditionalFields)
-    assert len(bag) == 15 and bag["GuardDutyFindingId"] == "f1" and bag["LaunchTime"].startswith("2026-07-20T10:00:00")
+    assert len(bag) == 15 and bag["GuardDutyFindingId"] == "f1" and bag["LaunchTime"].startswith("2025-02-01T08:15:00")
     malware = malware_findings(rows).collect()
     assert [(r.MalwareCategory, r.MalwareRiskScore, r.ThreatCount) for r in malware] == [("Suspicious File", 30, None)] * 2
     for view in (identity_findings, storage_findings, kubernetes_findings, database_findings):
@@ -67,18 +67,18 @@ def test_golden_rows(spark, finding, small_finding):
 
 def test_newest_copy_wins_before_any_gate(spark, finding):
     copies = [
-        variant(finding, id="a", updatedAt="2026-07-22T10:00:00Z", severity=5),
-        variant(finding, id="a", updatedAt="2026-07-22T12:00:00Z", severity=9, schemaVersion="1.0"),
-        variant(finding, id="b", updatedAt="2026-07-22T12:00:00Z", severity=7),
-        variant(finding, id="b", updatedAt="2026-07-22T11:00:00Z", severity=2),
-        variant(finding, id="b", updatedAt="2026-07-01T11:00:00Z", severity=1),
-        variant(finding, id="c", updatedAt="2026-07-01T11:00:00Z"),
-        variant(finding, id="d", updatedAt="2026-07-22T12:00:00Z", type="Recon:EC2/Portscan"),
-        variant(finding, id="d", updatedAt="2026-07-22T11:00:00Z", type="Policy:S3/X"),
+        variant(finding, id="a", updatedAt="2025-03-18T10:00:00Z", severity=5),
+        variant(finding, id="a", updatedAt="2025-03-18T12:00:00Z", severity=9, schemaVersion="1.0"),
+        variant(finding, id="b", updatedAt="2025-03-18T12:00:00Z", severity=7),
+        variant(finding, id="b", updatedAt="2025-03-18T11:00:00Z", severity=2),
+        variant(finding, id="b", updatedAt="2025-02-20T11:00:00Z", severity=1),
+        variant(finding, id="c", updatedAt="2025-02-20T11:00:00Z"),
+        variant(finding, id="d", updatedAt="2025-03-18T12:00:00Z", type="Recon:EC2/Portscan"),
+        variant(finding, id="d", updatedAt="2025-03-18T11:00:00Z", type="Policy:S3/X"),
         variant(finding, id="", accountId="", severity=0, region=""),
     ]
     found = {r.FindingId: (r.Severity, r.FindingType) for r in base(spark, *copies).collect()}
-    assert found == {"b": (7.0, finding["type"]), "d": (8.0, "Recon:EC2/Portscan")}
+    assert found == {"b": (7.0, finding["type"]), "d": (7.0, "Recon:EC2/Portscan")}
     ungated = base(spark, *copies, settings=Settings(data_validation=False))
     scores = {r.FindingId: (r.DataQualityScore, r.SeverityLevel) for r in ungated.collect()}
     assert scores == {"a": (100, "Critical"), "b": (100, "High"), "d": (100, "High"), "": (20, "Unknown")}
@@ -111,7 +111,7 @@ def test_network_terms(spark, finding):
     remote = finding["service"]["action"]["networkConnectionAction"]["remoteIpDetails"]
     rows = [
         shaped(1, blocked=True),
-        shaped(2, blocked="false", connectionDirection="INBOUND"),
+        shaped(2, blocked="false", connectionDirection="OUTBOUND"),
         shaped(3, remoteIpDetails={**remote, "country": {"countryName": "Chile"}}, connectionDirection="SIDEWAYS"),
         shaped(4, "Trojan:EC2/DNS!DNS"),
         shaped(5, "UnauthorizedAccess:EC2/Tor!Relay"),
@@ -121,8 +121,8 @@ def test_network_terms(spark, finding):
     rows[0]["resource"]["instanceDetails"]["networkInterfaces"][0]["securityGroups"] = [{"groupId": "a"}, {"groupId": "b"}]
     found = {r.FindingId: r for r in network_findings(base(spark, *rows)).collect()}
     assert set(found) == {"n1", "n2", "n3", "n4", "n5"}
-    assert [found[f"n{i}"].NetworkRiskScore for i in range(1, 6)] == [10, 20, 30, 40, 20]
-    assert [found[f"n{i}"].TrafficDirection for i in (1, 2, 3)] == ["Outbound", "Inbound", "Unknown"]
+    assert [found[f"n{i}"].NetworkRiskScore for i in range(1, 6)] == [20, 30, 30, 50, 30]
+    assert [found[f"n{i}"].TrafficDirection for i in (1, 2, 3)] == ["Inbound", "Outbound", "Unknown"]
     assert (found["n4"].ThreatCategory, found["n5"].ThreatCategory) == ("Trojan", "Anonymization")
     assert found["n1"].SecurityGroupIds == "a,b"
 
@@ -160,7 +160,7 @@ def test_identity_rules(spark, finding):
     assert (found["i1"].ServiceName_API, found["i1"].ActionResult) == ("iam", "Failure")
     assert (found["i2"].UserName, found["i2"].UserType, found["i2"].AuthenticationMethod) == ("false", "Assumed Role", "Assumed Role")
     assert (found["i3"].UserType, found["i3"].AuthenticationMethod, found["i3"].ApiName) == ("Root Account", "Root Access Key", "Unknown")
-    assert (found["i4"].UserName, found["i4"].RemoteAccountId) == ("eve", "123456789012")
+    assert (found["i4"].UserName, found["i4"].RemoteAccountId) == ("eve", "210987654321")
     assert (found["i6"].FindingCategory, found["i1"].ThreatIndicators) == ("Stealth Activity", "High-Risk Geography")
 
 
