@@ -149,8 +149,8 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.unionByName(narrow).unionByName(documentation)
 
 
-def geo(spark: SparkSession, sf_dir: str, **options) -> GeoRanges:
-    return GeoRanges(geo_ranges(spark, sf_dir), **options)
+def geo(spark: SparkSession, sf_dir: str) -> GeoRanges:
+    return GeoRanges(geo_ranges(spark, sf_dir))
 
 
 def firewall(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,9 +47,9 @@ def brute(address, ranges):
     return min(hits)[2] if hits else ""
 
 
-@pytest.mark.parametrize(("overlapping", "limit"), [(False, 200_000), (False, 5), (True, 200_000)])
-def test_lookup_equals_brute_force(spark, overlapping, limit):
-    rng = random.Random(limit)
+@pytest.mark.parametrize(("overlapping", "seed"), [(False, 1), (True, 2), (True, 3)])
+def test_lookup_equals_brute_force(spark, overlapping, seed):
+    rng = random.Random(seed)
     ranges = ranges_of(rng, 60, overlapping)
     addresses = []
     for start, end, *_ in ranges:
@@ -57,8 +57,7 @@ def test_lookup_equals_brute_force(spark, overlapping, limit):
             addresses.append(".".join(str(number >> s & 255) for s in (24, 16, 8, 0)))
     addresses += ["", "::1"] + [addresses[0]] * 300
     findings = spark.createDataFrame([(f"f{i}", a) for i, a in enumerate(addresses)], "FindingId STRING, Ip STRING")
-    geo = GeoRanges(spark.createDataFrame(ranges, GEO_SCHEMA), broadcast_rows=limit, salts=4)
-    assert geo.broadcastable() == (not overlapping and limit > 5)
+    geo = GeoRanges(spark.createDataFrame(ranges, GEO_SCHEMA))
     placed = geo.enrich(findings, "Ip").collect()
     assert len(placed) == len(addresses)
     for r in placed:
@@ -83,8 +82,8 @@ def test_parity(spark):
     )
     found = {(r.Id, r.field): (r.expected, r.actual) for r in parity_mismatches(sent, stored).collect()}
     assert {k: v for k, v in found.items() if k[0] == "b"} == {("b", "Region"): ("elsewhere", "r"), ("b", "Severity"): ("5", "4")}
-    assert {k[0] for k in found} == {"b", "c", "d"}
-    assert found[("c", "AccountId")] == ("3", None) and found[("d", "Severity")] == (None, "4")
+    assert {k[0] for k in found} == {"b", "c"}
+    assert found[("c", "AccountId")] == ("3", None)
     assert parity_mismatches(sent.filter("Id = 'a'"), stored.filter("Id = 'a'")).count() == 0
     assert parity_mismatches(sent.filter("Id = 'b'").drop("UpdatedAt"), stored.filter("Id = 'b'")).count() == 2
     assert [r.Id for r in missing_ids(sent, stored).collect()] == ["c"]

@@ -19,9 +19,9 @@ PLACE = {
 GEO_COLUMNS = tuple(PLACE)
 _NUMBERS = ("EnrichedLatitude", "EnrichedLongitude")
 
-# A range is filed under every block of addresses it touches: blocks of 2^8 addresses for the narrow ranges, blocks
-# of 2^16 for the wide ones, so a block holds few ranges and a range touches few blocks.
-NARROW_BITS, WIDE_BITS = 8, 16
+# Ranges are cut up by blocks of 2^8 addresses; an address meets the pieces of its own block only. Wide ranges are
+# spread over blocks of 2^16 addresses first, so that no array of blocks grows beyond 2^16.
+BLOCK_BITS, WIDE_BITS = 8, 16
 
 
 def ipv4_number(address: Column) -> Column:
@@ -41,88 +41,45 @@ def without_geo(df: DataFrame) -> DataFrame:
     )
 
 
+def _blocks(df: DataFrame, bits: int) -> DataFrame:
+    """Ranges cut at the borders of blocks of ``2 ** bits`` addresses."""
+    size = F.lit(1 << bits)
+    spread = df.withColumn("_block", F.explode(F.sequence(F.shiftright("_from", bits), F.shiftright("_to", bits))))
+    low = F.greatest("_from", F.col("_block") * size)
+    high = F.least("_to", F.col("_block") * size + size - 1)
+    return spread.withColumns({"_from": low, "_to": high})
+
+
 class GeoRanges:
-    """Range table (``GEO_SCHEMA``, both ends inclusive) prepared for equality joins.
+    """Range table (``GEO_SCHEMA``, both ends inclusive) prepared for one equality join.
 
-    The most specific range wins where ranges overlap. A table that is counted to be within ``broadcast_rows``
-    and has no overlaps inside a block size is broadcast, which leaves the findings where they are. Any other table is
-    joined to the distinct addresses, and the result is joined back on address and salt, so an address that most
-    findings share is spread over ``salts`` tasks.
+    The most specific range wins where ranges overlap, of equal ones the first. Overlaps are resolved here once, block
+    by block: the pieces that come out are disjoint, so an address has one piece at most and a row stays one row.
     """
 
-    def __init__(self, ranges: DataFrame, broadcast_rows: int = 200_000, salts: int = 16):
-        self.broadcast_rows, self.salts = broadcast_rows, salts
-        wide = (F.col("end") - F.col("start")) >= F.lit(1 << WIDE_BITS)
-        bits = F.when(wide, F.lit(WIDE_BITS)).otherwise(F.lit(NARROW_BITS))
-        first = F.when(wide, F.shiftright("start", WIDE_BITS)).otherwise(F.shiftright("start", NARROW_BITS))
-        last = F.when(wide, F.shiftright("end", WIDE_BITS)).otherwise(F.shiftright("end", NARROW_BITS))
-        self.blocks = (
-            ranges.filter(F.col("start") <= F.col("end"))
-            .select(
-                F.col("start").alias("_start"),
-                F.col("end").alias("_end"),
-                *[F.col(source).alias(name) for name, source in PLACE.items()],
-                bits.alias("_bits"),
-                F.explode(F.sequence(first, last)).alias("_block"),
-            )
-        )
-        self._broadcastable: bool | None = None
-
-    def broadcastable(self) -> bool:
-        """Measured once: whether the blocks are few enough and free of overlaps."""
-        if self._broadcastable is None:
-            few = self.blocks.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows
-            self._broadcastable = few and not self._overlapping()
-        return self._broadcastable
-
-    def _overlapping(self) -> bool:
-        before = (
-            Window.partitionBy("_bits", "_block").orderBy("_start", "_end").rowsBetween(Window.unboundedPreceding, -1)
-        )
-        reach = self.blocks.select("_start", F.max("_end").over(before).alias("_reach"))
-        return not reach.filter(F.col("_reach") >= F.col("_start")).isEmpty()
-
-    def enrich(self, df: DataFrame, address: str, salt_by: str = "FindingId") -> DataFrame:
-        """``df`` with the place columns; row for row the same otherwise."""
-        found = self._by_broadcast(df, address) if self.broadcastable() else self._by_address(df, address, salt_by)
-        return found.withColumns({n: text(F.col(n)) for n in GEO_COLUMNS if n not in _NUMBERS})
-
-    def _by_broadcast(self, df: DataFrame, address: str) -> DataFrame:
-        kept, joined = df.columns, df.withColumn("_number", ipv4_number(F.col(address)))
-        for bits in (NARROW_BITS, WIDE_BITS):
-            side = self.blocks.filter(F.col("_bits") == bits).select(
-                F.col("_block").alias(f"_block{bits}"),
-                F.col("_start").alias(f"_start{bits}"),
-                F.col("_end").alias(f"_end{bits}"),
-                *[F.col(n).alias(f"{n}{bits}") for n in GEO_COLUMNS],
-            )
-            inside = (F.shiftright("_number", bits) == F.col(f"_block{bits}")) & F.col("_number").between(
-                F.col(f"_start{bits}"), F.col(f"_end{bits}")
-            )
-            joined = joined.join(F.broadcast(side), inside, "left")
-        narrow = F.col(f"_start{NARROW_BITS}").isNotNull()
-        places = [
-            F.when(narrow, F.col(f"{n}{NARROW_BITS}")).otherwise(F.col(f"{n}{WIDE_BITS}")).alias(n)
-            for n in GEO_COLUMNS
-        ]
-        return joined.select(*kept, *places)
-
-    def _by_address(self, df: DataFrame, address: str, salt_by: str) -> DataFrame:
-        number = ipv4_number(F.col(address)).alias("_number")
-        probes = df.select(number).filter(F.col("_number").isNotNull()).distinct().select(
-            "_number", F.explode(F.array(F.lit(NARROW_BITS), F.lit(WIDE_BITS))).alias("_bits")
-        )
-        block = F.when(F.col("_bits") == WIDE_BITS, F.shiftright("_number", WIDE_BITS)).otherwise(
-            F.shiftright("_number", NARROW_BITS)
-        )
-        hits = probes.withColumn("_block", block).join(self.blocks, ["_bits", "_block"])
-        hits = hits.filter(F.col("_number").between(F.col("_start"), F.col("_end")))
-        width = F.struct((F.col("_end") - F.col("_start")).alias("width"), F.col("_start").alias("start"))
-        places = (
-            hits.groupBy("_number")
-            .agg(F.min_by(F.struct(*GEO_COLUMNS), width).alias("_place"))
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+    def __init__(self, ranges: DataFrame):
+        named = ranges.filter(F.col("start") <= F.col("end")).select(
+            F.col("start").alias("_from"),
+            F.col("end").alias("_to"),
+            F.struct((F.col("end") - F.col("start")).alias("width"), F.col("start").alias("start")).alias("_order"),
+            F.struct(*[F.col(source).alias(name) for name, source in PLACE.items()]).alias("_place"),
         )
-        salt = F.pmod(F.xxhash64(salt_by), F.lit(self.salts)).cast("int").alias("_salt")
-        placed = df.select("*", number, salt).join(places, ["_number", "_salt"], "left")
-        return placed.select(*df.columns, *[F.col(f"_place.{n}").alias(n) for n in GEO_COLUMNS])
+        cells = _blocks(_blocks(named, WIDE_BITS), BLOCK_BITS)
+        edges = cells.select("_block", F.explode(F.array(F.col("_from"), F.col("_to") + 1)).alias("_start")).distinct()
+        following = F.lead("_start").over(Window.partitionBy("_block").orderBy("_start"))
+        pieces = edges.withColumn("_end", following - 1).filter(F.col("_end").isNotNull())
+        covering = pieces.join(cells, "_block").filter(F.col("_start").between(F.col("_from"), F.col("_to")))
+        self.pieces = covering.groupBy("_block", "_start", "_end").agg(F.min_by("_place", "_order").alias("_place"))
+
+    def enrich(self, df: DataFrame, address: str, spread_by: str = "FindingId") -> DataFrame:
+        """``df`` with the place columns; row for row the same otherwise.
+
+        Rows without an IPv4 address get keys of their own, so they do not meet in one task.
+        """
+        number = ipv4_number(F.col(address))
+        block = F.coalesce(F.shiftright(number, BLOCK_BITS), -1 - F.pmod(F.xxhash64(spread_by), F.lit(1 << 20)))
+        keyed = df.withColumns({"_number": number, "_block": block})
+        inside = (keyed["_block"] == self.pieces["_block"]) & keyed["_number"].between(F.col("_start"), F.col("_end"))
+        placed = keyed.join(self.pieces, inside, "left")
+        place = {n: F.col(f"_place.{n}") for n in GEO_COLUMNS}
+        return placed.select(*df.columns, *[(c if n in _NUMBERS else text(c)).alias(n) for n, c in place.items()])

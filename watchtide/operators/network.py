@@ -8,6 +8,7 @@ from watchtide.functions.severity import severity_points
 from watchtide.functions.text import classify, contains, first_match, has, is_false, not_empty
 from watchtide.functions.variant import Read, with_reads
 from watchtide.operators.geo import GEO_COLUMNS, GeoRanges, without_geo
+from watchtide.settings import DEFAULTS, Settings
 
 _CONNECTION = ".action.networkConnectionAction"
 _REMOTE = _CONNECTION + ".remoteIpDetails"
@@ -123,10 +124,11 @@ NETWORK_COLUMNS = (
 )
 
 
-def network_findings(base: DataFrame, geo: GeoRanges | None = None) -> DataFrame:
+def network_findings(base: DataFrame, geo: GeoRanges | None = None, settings: Settings = DEFAULTS) -> DataFrame:
     """Connections seen by network findings, with category, direction and risk score.
 
-    ``geo`` adds the looked-up place of the remote address; without it those columns are empty.
+    ``geo`` adds the looked-up place of the remote address; without it, or with geo
+    enrichment switched off, those columns are empty.
     """
     kind = F.col("FindingType")
     wanted = (F.col("ActionType") == "NETWORK_CONNECTION") | has(kind, *TYPE_TERMS)
@@ -154,5 +156,5 @@ def network_findings(base: DataFrame, geo: GeoRanges | None = None) -> DataFrame
             (is_false(F.col("IsBlocked")), 10),
         ),
     )
-    placed = geo.enrich(typed, "RemoteIp") if geo else without_geo(typed)
+    placed = geo.enrich(typed, "RemoteIp") if geo and settings.geo_enrichment else without_geo(typed)
     return placed.select(*NETWORK_COLUMNS)
