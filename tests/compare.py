@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -64,6 +65,7 @@ def main(sf_dir: str, *wanted: str) -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from driver_checks import registry, sources
 from driver_checks.derived import AS_OF
+from watchtide.sources.table import FINDINGS, findings, write_findings
 
 SF = "/root/testdata/sf0.001"
 VIEWS = ("c1_base_view", "d1_network_view", "d2_identity_view", "d3_storage_view", "d4_kubernetes_view")
@@ -47,11 +49,27 @@ def test_an_id_filter_reaches_the_scan(spark):
     assert re.search(r"Id#\d+ = f-300", below_the_shuffle)
 
 
-def test_geo_is_broadcast_only_within_its_bound(spark):
-    small = plan(registry.QUERIES["j4_geo_lookup"](spark, SF))
-    assert small.count("BroadcastHashJoin") == 2
-    large = registry.network_of(spark, SF, geo=sources.geo(spark, SF, broadcast_rows=0))
-    assert "_salt" in plan(large)
+def test_geo_lookup_reads_the_findings_once(spark):
+    text = plan(registry.QUERIES["j4_geo_lookup"](spark, SF))
+    assert text.count("GeneratedDate#") and sum("FileScan parquet" in line and "Severity" in line for line in text.splitlines()) == 1
+
+
+def test_a_time_filter_skips_row_groups(spark, tmp_path):
+    """Rows that leave the scan, not words in the plan: the file has many row groups, sorted by time."""
+    rows = spark.range(200_000).selectExpr("timestamp_seconds(1704067200 + id) AS TimeGenerated", "cast(id as string) AS Id", "cast(null as variant) AS ServiceDetails")
+    table = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in FINDINGS])
+    spark.conf.set("parquet.block.size", "65536")
+    write_findings(table.coalesce(1), str(tmp_path / "t"))
+    spark.conf.unset("parquet.block.size")
+    near = findings(spark, str(tmp_path / "t")).filter("TimeGenerated >= timestamp_seconds(1704067200 + 195000)").select("TimeGenerated")
+    assert near.count() == 5000
+    near.collect()
+    executed = near._jdf.queryExecution().executedPlan()
+    near._jdf.queryExecution().toRdd().count()
+    scan = executed
+    while scan.children().size():
+        scan = scan.children().head()
+    assert 5000 <= scan.metrics().apply("numOutputRows").value() < 100_000
 
 
 def test_lookback_literal_is_the_pinned_time(spark):

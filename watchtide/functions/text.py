@@ -9,6 +9,12 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+# Every JSON text of a time keeps the microseconds, which decide the newest copy.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+}
 _ALNUM = re.compile(r"[A-Za-z0-9]")
 
 
@@ -91,5 +97,5 @@ def points(*scores) -> Column:
 
 
 def json_bag(*fields: Column) -> Column:
-    """JSON object text of the named columns, keeping the members that are null."""
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    """JSON object text of the named columns, keeping the members that are null; times in UTC with microseconds."""
+    return F.to_json(F.struct(*fields), JSON_OPTIONS)

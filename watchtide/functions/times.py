@@ -39,7 +39,18 @@ def at(as_of: datetime | None, back: timedelta | str = timedelta(0)) -> Column:
 
 
 def hour(value: Column) -> Column:
-    return F.date_trunc("hour", value)
+    """Start of the UTC hour, whatever the session's time zone."""
+    return F.timestamp_micros((F.floor(F.unix_micros(value) / F.lit(3_600_000_000)) * 3_600_000_000).cast("bigint"))
+
+
+def utc_day(value: Column) -> Column:
+    """The UTC date of a timestamp, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(value) / F.lit(86_400_000_000)).cast("int"))
+
+
+def day_at(as_of: datetime | None, back: timedelta | str = timedelta(0)) -> Column:
+    """UTC date literal of ``as_of - back``."""
+    return F.lit((instant(as_of) - timespan(back)).date())
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

@@ -125,7 +125,6 @@ def network_quality(network: DataFrame, approximate: bool = False) -> DataFrame:
         network.agg(
             _rows().alias("NetworkFindings"),
             F.count_if(not_empty(F.col("RemoteIp"))).alias("FindingsWithRemoteIP"),
-            F.count_if(F.col("RemotePort").isNotNull()).alias("FindingsWithPorts"),
             _distinct("RemoteIp", approximate).alias("UniqueRemoteIPs"),
             _distinct("RemoteCountry", approximate).alias("UniqueCountries"),
         )
@@ -142,7 +141,6 @@ def network_quality(network: DataFrame, approximate: bool = False) -> DataFrame:
             ).alias("TestResult"),
             "NetworkFindings",
             "FindingsWithRemoteIP",
-            "FindingsWithPorts",
             "UniqueRemoteIPs",
             "UniqueCountries",
         )
@@ -207,24 +205,31 @@ def ingestion_pattern(table: DataFrame, as_of: datetime | None = None, lookback=
             "HoursWithData",
             "AvgRecordsPerHour",
             "MaxRecordsPerHour",
-            "MinRecordsPerHour",
         )
     )
 
 
-def data_quality_rates(base: DataFrame) -> DataFrame:
-    """Shares of rows with parsed documents and with filled fields."""
+def data_quality_rates(base: DataFrame, unparsed: DataFrame | None = None) -> DataFrame:
+    """Shares of rows with parsed documents and with filled fields.
+
+    A row of the base view was parsed. ``unparsed`` are the quarantined lines of the same time that are no JSON; they
+    count against the parse rate and in nothing else.
+    """
     total, rate, score = F.col("TotalRecords"), F.col("JsonParseRate"), F.col("DataQualityScore")
     filled = (
         F.count_if(not_empty(F.col("FindingId")))
         + F.count_if(F.col("Severity").isNotNull())
         + F.count_if(not_empty(F.col("AwsAccountId")))
     )
+    counted = base.agg(_rows().alias("TotalRecords"), filled.alias("_filled"))
+    if unparsed is not None:
+        lost = unparsed.agg(_rows().alias("_lost"))
+        counted = counted.unionByName(lost, allowMissingColumns=True).agg(*[F.sum(c).alias(c) for c in ("TotalRecords", "_filled", "_lost")])
+    lines = total + F.col("_lost") if unparsed is not None else total
     return (
-        base.agg(_rows().alias("TotalRecords"), _rows().alias("_parsed"), filled.alias("_filled"))
-        .withColumns(
+        counted.withColumns(
             {
-                "JsonParseRate": whole_share(F.col("_parsed"), total),
+                "JsonParseRate": whole_share(total, lines),
                 "DataQualityScore": whole_share(F.col("_filled"), total * 3),
             }
         )
@@ -266,7 +271,6 @@ def account_region_coverage(base: DataFrame) -> DataFrame:
         label,
         F.count_distinct("AwsAccountId").alias("UniqueAccounts"),
         F.count_distinct("AwsRegion").alias("UniqueRegions"),
-        _rows().alias("TotalAccountRegionPairs"),
     )
     return listed.select(
         F.concat(
@@ -278,11 +282,17 @@ def account_region_coverage(base: DataFrame) -> DataFrame:
         ).alias("Coverage"),
         "UniqueAccounts",
         "UniqueRegions",
-        "TotalAccountRegionPairs",
         F.col("labels").alias("TopAccountRegions"),
     )
 
 
+# The notes beside the quick health check.
+HEALTH_NOTES = {
+    "Instructions": "Run this query every few hours to monitor connector health",
+    "ExpectedResults": "Should see consistent data flow with recent timestamps",
+}
+
+
 def recent_health(base: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Quick check over a base view of the last hour."""
     count, latest = F.col("RecentRecords"), F.col("LatestRecord")
@@ -292,6 +302,7 @@ def recent_health(base: DataFrame, as_of: datetime | None = None) -> DataFrame:
         F.count_distinct("FindingId").alias("UniqueFindings"),
     ).select(
         F.lit(instant(as_of)).alias("CheckTime"),
+        *[F.lit(words).alias(name) for name, words in HEALTH_NOTES.items()],
         first_match(
             [
                 (count == 0, "No recent data - check connector"),

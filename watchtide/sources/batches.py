@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from watchtide.functions.text import JSON_OPTIONS
+
 # Default limits of one delivery batch.
 MAX_ROWS = 25
 MAX_BYTES = 900_000
@@ -26,7 +28,7 @@ def pack_batches(
     """
     if max_rows < 1 or max_bytes < 3:
         raise ValueError("batch limits must be positive")
-    record = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    record = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), JSON_OPTIONS)
     spread = df.repartition(lanes) if lanes else df
     encoded = spread.select(F.spark_partition_id().alias("lane"), record.alias("record")).withColumn(
         "size", F.octet_length("record").cast("long")
