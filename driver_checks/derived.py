@@ -337,9 +337,12 @@ def json_value(value) -> str:
     return body
 
 
+EMPTY = ((RAW, "'[]'"), (RAW, "'{}'"))
+
+
 def _any_kind(value) -> str:
     """The value as a variant, so that the cases of one member may differ in kind."""
-    if value in ((RAW, "'[]'"), (RAW, "'{}'")):
+    if value in EMPTY:
         return f"parse_json({value[1]})"
     return f"to_variant_object({json_value(value)})"
 
@@ -349,6 +352,37 @@ def json_sql(template: dict) -> str:
     return f"to_json({json_value(template)})"
 
 
+def json_text(value, nulls: bool = False) -> str:
+    """DuckDB SQL for the compact JSON text of a template value with sorted keys, as a stored variant is rendered.
+
+    Null members are left out, but inside a ``choose`` they read ``null``: there the value was made a variant with
+    them. Whole numbers are rendered without a fraction.
+    """
+    if isinstance(value, dict):
+        members = []
+        for key in sorted(value):
+            inner = json_text(value[key], nulls)
+            members.append(f"'\"{key}\":' || " + (f"COALESCE({inner}, 'null')" if nulls else f"({inner})"))
+        return "('{' || concat_ws(',', " + ", ".join(members) + ") || '}')"
+    kind, body = value
+    if kind == TIME:
+        return f"'\"' || strftime({body}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z\"'"
+    if kind == STRING:
+        return f"CASE WHEN {body} IS NOT NULL THEN CAST(to_json(CAST({body} AS VARCHAR)) AS VARCHAR) END"
+    if kind == RAW:
+        return f"'\"' || {body} || '\"'"
+    if kind == BOOLEAN:
+        return f"CASE WHEN {body} THEN 'true' WHEN NOT ({body}) THEN 'false' END"
+    if kind == NUMBER:
+        return f"CASE WHEN {body} = floor({body}) THEN CAST(CAST({body} AS BIGINT) AS VARCHAR) ELSE CAST({body} AS VARCHAR) END"
+    if kind == "only":
+        return f"CASE WHEN {body[0]} THEN {json_text(body[1], nulls)} END"
+    if kind == "choose":
+        cases = " ".join(f"WHEN {c} THEN {v[1] if v in EMPTY else json_text(v, True)}" for c, v in body)
+        return f"CASE {cases} END"
+    return "'[' || concat_ws(',', " + ", ".join(json_text(v, nulls) for v in body) + ") || ']'"
+
+
 INTERFACE = {
     "networkInterfaceId": string("interface_id"),
     "privateDnsName": string("private_dns"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from driver_checks.derived import AS_OF_SQL, attributes_sql
+from driver_checks.derived import AS_OF_SQL, RESOURCE, SERVICE, attributes_sql, json_text
 
 ALNUM = re.compile("[A-Za-z0-9]")
 
@@ -130,6 +130,39 @@ def with_table(select: str) -> str:
     return f"WITH {TABLE}\n{select}"
 
 
+RESOURCE_TEXT = json_text(RESOURCE)
+SERVICE_TEXT = f"CASE WHEN has_service THEN {json_text(SERVICE)} ELSE '{{}}' END"
+
+
+def _member(name: str, value: str, quoted: bool = True) -> str:
+    shown = f"CAST(to_json(CAST({value} AS VARCHAR)) AS VARCHAR)" if quoted else value
+    return f"'\"{name}\":' || COALESCE(CASE WHEN {value} IS NOT NULL THEN {shown} END, 'null')"
+
+
+def _time(value: str) -> str:
+    return f"'\"' || strftime({value}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z\"'"
+
+
+# The finding rebuilt from the table, in the member order of the base view; severity is a whole double.
+RAW_JSON = "'{' || " + " || ',' || ".join(
+    [
+        _member("accountId", "AccountId"),
+        _member("arn", "Arn"),
+        _member("createdAt", _time("TimeCreated"), False),
+        _member("description", "Description"),
+        _member("id", "Id"),
+        _member("partition", "PartitionName"),
+        _member("region", "Region"),
+        _member("resource", RESOURCE_TEXT, False),
+        _member("schemaVersion", "SchemaVersion"),
+        _member("service", SERVICE_TEXT, False),
+        _member("severity", "CAST(CAST(SeverityInt AS DOUBLE) AS VARCHAR)", False),
+        _member("title", "Title"),
+        _member("type", "ActivityType"),
+        _member("updatedAt", _time("TimeGenerated"), False),
+    ]
+) + " || '}'"
+
 COMMON = (
     "TimeGenerated, EventTime, Id AS FindingId, ActivityType AS FindingType, sev AS Severity, level AS SeverityLevel, "
     f"{text('title')} AS Title, {text('description')} AS Description, AccountId AS AwsAccountId, Region AS AwsRegion"

@@ -522,6 +522,23 @@ def _(spark, sf):
     return S.base(spark, sf)
 
 
+@check("c1_raw_json", O.with_base(f"SELECT Id AS FindingId, Arn, {O.RAW_JSON} AS Document FROM b"))
+def _(spark, sf):
+    """The whole finding as the base view renders it, of every newest copy."""
+    base = S.base(spark, sf)
+    return base.select("FindingId", F.get_json_object("RawJson", "$.arn").alias("Arn"), F.col("RawJson").alias("Document"))
+
+
+@check(
+    "a7_documents",
+    O.with_table(f"SELECT Id, Arn, TimeGenerated, {O.RESOURCE_TEXT} AS Resource, {O.SERVICE_TEXT} AS Service FROM t"),
+)
+def _(spark, sf):
+    """Both documents of every stored copy, whole."""
+    table = S.table(spark, sf)
+    return table.select("Id", "Arn", "TimeGenerated", F.to_json("ResourceDetails").alias("Resource"), F.to_json("ServiceDetails").alias("Service"))
+
+
 @check("c1a_default_lookback", O.with_base(O.BASE_SELECT, "7"))
 def _(spark, sf):
     return S.base(spark, sf, None)
