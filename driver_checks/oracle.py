@@ -166,6 +166,7 @@ RAW_JSON = "'{' || " + " || ',' || ".join(
 COMMON = (
     "TimeGenerated, EventTime, Id AS FindingId, ActivityType AS FindingType, sev AS Severity, level AS SeverityLevel, "
     f"{text('title')} AS Title, {text('description')} AS Description, AccountId AS AwsAccountId, Region AS AwsRegion"
+    f", {RAW_JSON} AS RawJson"
 )
 BASE_SELECT = f"""SELECT {COMMON}, TimeGenerated AS UpdatedTime,
   CASE WHEN has_service THEN detector_id ELSE '' END AS DetectorId, PartitionName AS "Partition",

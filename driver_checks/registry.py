@@ -28,7 +28,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 # Columns that carry whole documents or the time of the run.
-UNCOMPARED = {"RawJson", "AdditionalFields", "ParsingTimestamp", "RawFinding", "ResourceDetails", "ServiceDetails"}
+UNCOMPARED = {"AdditionalFields", "ParsingTimestamp", "RawFinding", "ResourceDetails", "ServiceDetails"}
 
 
 def plain(df: DataFrame) -> DataFrame:
