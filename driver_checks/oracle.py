@@ -163,6 +163,26 @@ RAW_JSON = "'{' || " + " || ',' || ".join(
     ]
 ) + " || '}'"
 
+# A stored row as JSON text, in column order.
+ROW_JSON = "'{' || " + " || ',' || ".join(
+    [
+        _member("AccountId", "AccountId"),
+        _member("ActivityType", "ActivityType"),
+        _member("Arn", "Arn"),
+        _member("Description", "Description"),
+        _member("Id", "Id"),
+        _member("Partition", "PartitionName"),
+        _member("Region", "Region"),
+        _member("ResourceDetails", RESOURCE_TEXT, False),
+        _member("SchemaVersion", "SchemaVersion"),
+        _member("ServiceDetails", SERVICE_TEXT, False),
+        _member("Severity", "CAST(SeverityInt AS VARCHAR)", False),
+        _member("TimeCreated", _time("TimeCreated"), False),
+        _member("TimeGenerated", _time("TimeGenerated"), False),
+        _member("Title", "Title"),
+    ]
+) + " || '}'"
+
 COMMON = (
     "TimeGenerated, EventTime, Id AS FindingId, ActivityType AS FindingType, sev AS Severity, level AS SeverityLevel, "
     f"{text('title')} AS Title, {text('description')} AS Description, AccountId AS AwsAccountId, Region AS AwsRegion"

@@ -1042,7 +1042,13 @@ def _(spark, sf):
     return hunting.urgent(S.base(spark, sf, "1d"), AS_OF, "6h")
 
 
-@check("f17_daily_volume")
+@check(
+    "f17_daily_volume",
+    O.with_table(
+        f"SELECT date_trunc('day', TimeGenerated)::TIMESTAMP AS Day, SUM(strlen({O.ROW_JSON}))::DOUBLE / 1048576.0 AS DataSizeMB "
+        f"FROM t WHERE TimeGenerated > {AS_OF_SQL} - INTERVAL '30' DAY GROUP BY 1"
+    ),
+)
 def _(spark, sf):
     return hunting.daily_volume(S.table(spark, sf), AS_OF)
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, base, table
+from watchtide.functions.text import JSON_OPTIONS
 from watchtide.operators.identity import identity_findings
 from watchtide.operators.network import network_findings
 from watchtide.operators.quality import quality_categories
@@ -97,7 +98,7 @@ def test_verdicts_over_rows(spark, many):
 def test_daily_volume_is_the_size_of_the_rows(spark, many):
     stored = table(spark, *many)
     sizes = {}
-    for r in stored.select(F.to_date("TimeGenerated").alias("d"), F.to_json(F.struct(*stored.columns)).alias("j")).collect():
+    for r in stored.select(F.to_date("TimeGenerated").alias("d"), F.to_json(F.struct(*stored.columns), JSON_OPTIONS).alias("j")).collect():
         sizes[r.d] = sizes.get(r.d, 0) + len(r.j.encode())
     found = {r.Day.date(): r.DataSizeMB for r in hunting.daily_volume(stored, AS_OF).collect()}
     assert found == {d: n / 1048576 for d, n in sizes.items()}

@@ -6,8 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from watchtide.functions.text import contains, is_empty, not_empty
-from watchtide.functions.times import at, hour, seconds_between
+from watchtide.functions.text import contains, is_empty, json_bag, not_empty
+from watchtide.functions.times import at, hour, seconds_between, utc_day
 from watchtide.functions.variant import part
 
 RISKY_SESSION = 70
@@ -131,11 +131,11 @@ def urgent(base: DataFrame, as_of: datetime | None = None, back="15m") -> DataFr
 
 
 def daily_volume(table: DataFrame, as_of: datetime | None = None, back="30d") -> DataFrame:
-    """Data per day in MB, measured as the UTF-8 size of each row's JSON text."""
-    size = F.octet_length(F.to_json(F.struct(*table.columns))).cast("long")
+    """Data per UTC day in MB, measured as the UTF-8 size of each row's JSON text, members that are null included."""
+    size = F.octet_length(json_bag(*[F.col(c) for c in table.columns])).cast("long")
     return (
         table.filter(F.col("TimeGenerated") > at(as_of, back))
-        .groupBy(F.date_trunc("day", "TimeGenerated").alias("Day"))
+        .groupBy(F.timestamp_seconds(F.unix_date(utc_day(F.col("TimeGenerated"))) * 86400).alias("Day"))
         .agg((F.sum(size) / F.lit(1048576.0)).alias("DataSizeMB"))
         .orderBy("Day")
     )
