@@ -101,7 +101,7 @@ def test_sketch_distance_follows_similarity():
             both = draw.integers(0, 2**64, int(1000 * share), dtype=np.uint64)
             own = [draw.integers(0, 2**64, int(1000 * (1 - share) / 2), dtype=np.uint64) for _ in range(2)]
             a, b = (odd_sketch(minhash(np.concatenate([both, o]), rule.hashes)) for o in own)
-            distances.append(int(np.bitwise_count(a ^ b).sum()))
+            distances.append(int(np.bitwise_count((a ^ b).view(np.uint64)).sum()))
         assert (max(distances) <= rule.furthest) if near else (min(distances) > rule.furthest)
 
 

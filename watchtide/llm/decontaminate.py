@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from watchtide.llm.bitmap import gathered_bitmap, in_bitmap
 from watchtide.llm.words import PUNCTUATION, bounded_batches, mixed, word_hashes
 from watchtide.storage import stored
 
@@ -92,17 +93,6 @@ def _seeds(items: DataFrame, rule: Tiling) -> DataFrame:
     return rows.select("item", "words", F.posexplode("seeds").alias("at", "seed"))
 
 
-def _bitmap(seeds: DataFrame, bits: int) -> np.ndarray:
-    """One bit per seed hash in a bitmap of ``bits`` bits: all that is gathered, however many items there are."""
-    place = F.pmod("seed", F.lit(bits))
-    words = seeds.select(place.alias("p")).select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit"))
-    gathered = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    bitmap = np.zeros(bits // 64, np.int64)
-    for row in gathered:
-        bitmap[row.word] = row.bits
-    return bitmap.view(np.uint64)
-
-
 def _hits(texts: DataFrame, bitmap: np.ndarray, rule: Tiling) -> DataFrame:
     """``(id, version, at, seed)`` of the document seeds that the bitmap lets pass."""
     bits = 64 * len(bitmap)
@@ -112,8 +102,7 @@ def _hits(texts: DataFrame, bitmap: np.ndarray, rule: Tiling) -> DataFrame:
             rows = []
             for key, version, text in zip(batch["id"], batch["version"], batch["text"]):
                 seeds = rolling(word_hashes(text, PUNCTUATION), rule.seed).view(np.int64)
-                place = np.mod(seeds, bits)
-                at = np.flatnonzero((bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
+                at = np.flatnonzero(in_bitmap(bitmap, np.mod(seeds, bits)))
                 if len(at):
                     rows.append((key, version, at, seeds[at]))
             yield pd.DataFrame(rows, columns=["id", "version", "at", "seed"])
@@ -133,7 +122,7 @@ def contained_items(docs: DataFrame, items: DataFrame, rule: Tiling = Tiling(),
     """
     bounded_batches(docs.sparkSession)
     seeds = stored(_seeds(items.select(items[item_id].alias("item"), items[item_text].alias("text")), rule).distinct(), "seeds")
-    bitmap = _bitmap(seeds, rule.bitmap_bits)
+    bitmap = gathered_bitmap(seeds.select(F.pmod("seed", F.lit(rule.bitmap_bits)).alias("mark")), rule.bitmap_bits)
     texts = docs.select(docs[id].alias("id"), F.xxhash64(docs[text]).alias("version"), docs[text].alias("text"))
     hits = _hits(texts, bitmap, rule)
     places = seeds.select("seed", "item", "words", F.col("at").alias("item_at"))

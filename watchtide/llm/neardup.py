@@ -7,9 +7,11 @@
 3. In every bucket all nodes are compared with the least one, the leader. The bits in which two odd sketches differ
    estimate the similarity; pairs well below the threshold go, and the others are decided on their full sets.
 4. Links make components. A bucket whose members still lie in several components is compared in full, block by block:
-   sketches first, then full sets, each pair in the first bucket it shares only. Tasks write links, never pairs.
+   sketches first, then full sets of the rows that have a candidate left, each pair in the first bucket it shares
+   only. Tasks write links, never pairs.
 
-Two sets of similarity 0.8 share no bucket with probability (1 - 0.8**4)**32 = 5e-8; higher ones less.
+Two sets of similarity 0.8 share no bucket with probability (1 - 0.8**5)**36 = 6e-7; higher ones less. Longer bands
+would leave more of such pairs out, shorter ones would bring unlike texts together, whose number grows as the square.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from watchtide.llm.bitmap import gathered_bitmap, in_bitmap
 from watchtide.llm.components import components
 from watchtide.llm.words import bounded_batches, mixed, word_hashes
 from watchtide.storage import stored
@@ -30,6 +33,7 @@ from watchtide.storage import stored
 _CHUNK = 512
 _SKETCH_LONGS = 8
 _SKETCH = [f"s{i}" for i in range(_SKETCH_LONGS)]
+_TASK = ["bucket", "low", "high"]
 
 
 @dataclass(frozen=True)
@@ -38,11 +42,12 @@ class NearDup:
 
     shingle: int = 5
     percent: int = 80
-    bands: int = 32
-    rows: int = 4
+    bands: int = 36
+    rows: int = 5
     slack: float = 0.22
     block_rows: int = 512
     block_shingles: int = 1 << 20
+    bitmap_bits: int = 1 << 24
 
     @property
     def hashes(self) -> int:
@@ -116,15 +121,24 @@ def _signatures(rule: NearDup, kind: str):
     return of, f"id {kind}, version bigint, n bigint, name binary, buckets array<bigint>, " + ", ".join(f"{s} bigint" for s in _SKETCH)
 
 
-def _sets(texts: DataFrame, rule: NearDup) -> DataFrame:
-    """``(node, shingles)``: the full set of each text."""
+def _sets(texts: DataFrame, wanted: DataFrame, rule: NearDup) -> DataFrame:
+    """``(node, shingles)``: the full sets of the texts whose ids are ``wanted``, and of few others.
+
+    Texts are never shuffled: a bitmap of fixed size, made of the wanted ids, picks them where they are read. Those
+    that it lets pass by chance find no partner in the joins that follow.
+    """
+    bits = rule.bitmap_bits
+    mark = F.pmod(F.xxhash64("id"), F.lit(bits))
+    bitmap = gathered_bitmap(wanted.select(mark.alias("mark")), bits)
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            batch = batch[in_bitmap(bitmap, batch["mark"].to_numpy())]
             sets = [shingle_set(t, rule.shingle).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"node": batch["id"], "shingles": sets})
+            yield pd.DataFrame({"node": batch["id"].to_numpy(), "shingles": sets})
 
-    return texts.mapInPandas(of, f"node {texts.schema['id'].dataType.simpleString()}, shingles binary")
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.filter("id is not null").withColumn("mark", mark).mapInPandas(of, f"node {kind}, shingles binary")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -158,45 +172,86 @@ def _apart(a: str, b: str):
     return sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in _SKETCH[1:]), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
 
 
-def _block_links(rule: NearDup):
-    """Links between the components of one bucket, for two blocks of its members."""
-
-    def of(group: pd.DataFrame) -> pd.DataFrame:
-        sketches = group[_SKETCH].to_numpy(np.int64)
-        buckets = np.stack(group["buckets"].to_numpy())
-        here = int(group["band"].iloc[0])
-        sizes = group["n"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
-        nodes = group["node"].to_numpy()
-        root = list(pd.factorize(group["component"])[0])
-        side, one_block = group["block"].to_numpy(), group["low"].iloc[0] == group["high"].iloc[0]
-        parent = list(range(max(root) + 1))
-
-        def top(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        links = []
-        low = np.flatnonzero(side == group["low"].iloc[0])
-        high = low if one_block else np.flatnonzero(side != group["low"].iloc[0])
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Frames of rows sorted by task that hold whole tasks, with where each task starts and the end of the last."""
+    rest = None
+    for batch in batches:
+        frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        keys = frame[_TASK].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)])[: len(keys)])
+        if len(starts) > 1:
+            yield frame.iloc[: starts[-1]], starts
+        rest = frame.iloc[starts[-1] :] if len(starts) else None
+    if rest is not None:
+        yield rest, np.array([0, len(rest)])
+
+
+def _candidates(frame: pd.DataFrame, starts: np.ndarray, rule: NearDup) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(task, row, others)``: rows of the other block that a row's sketch leaves and that share no earlier bucket."""
+    sketches = frame[_SKETCH].to_numpy(np.int64).view(np.uint64)  # bits of signed numbers are counted without the sign
+    buckets = np.stack(frame["buckets"].to_numpy())
+    bands, sizes, parts = frame["band"].to_numpy(), frame["n"].to_numpy(), pd.factorize(frame["component"])[0]
+    in_low, one_block = (frame["block"] == frame["low"]).to_numpy(), (frame["low"] == frame["high"]).to_numpy()
+    for task, (start, end) in enumerate(zip(starts[:-1], starts[1:])):
+        rows = np.arange(start, end)
+        low, high = rows[in_low[start:end]], rows[~in_low[start:end]]
         for i in low:
-            others = high[high > i] if one_block else high
+            others = low[low > i] if one_block[start] else high
+            others = others[parts[others] != parts[i]]
             near = np.bitwise_count(sketches[others] ^ sketches[i]).sum(1, dtype=np.int64) <= rule.furthest
             near &= 100 * np.minimum(sizes[others], sizes[i]) >= rule.percent * np.maximum(sizes[others], sizes[i])
             others = others[near]
-            first = (buckets[others] == buckets[i]).argmax(1) == here
-            for j in others[first]:
-                x, y = top(root[i]), top(root[j])
-                if x != y and _linked(sets[i], sets[j], rule.percent):
-                    parent[x] = y
-                    links.append((nodes[i], nodes[j]))
-        return pd.DataFrame(links, columns=["u", "v"])
+            if len(others):
+                others = others[(buckets[others] == buckets[i]).argmax(1) == bands[start]]
+            if len(others):
+                yield task, i, others
+
+
+def _with_candidates(rule: NearDup):
+    """The rows that have a candidate."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, starts in _whole_groups(batches):
+            kept = np.zeros(len(frame), bool)
+            for _, i, others in _candidates(frame, starts, rule):
+                kept[i] = kept[others] = True
+            yield frame[kept]
+
+    return of
+
+
+def _block_links(rule: NearDup):
+    """Links between components, from rows with their sets: a forest per task at most."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, starts in _whole_groups(batches):
+            sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
+            nodes, root = frame["node"].to_numpy(), pd.factorize(frame["component"])[0]
+            parent: dict[tuple[int, int], tuple[int, int]] = {}
+
+            def top(x):
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            links = []
+            for task, i, others in _candidates(frame, starts, rule):
+                for j in others:
+                    x, y = top((task, root[i])), top((task, root[j]))
+                    if x != y and _linked(sets[i], sets[j], rule.percent):
+                        parent[x] = y
+                        links.append((nodes[i], nodes[j]))
+            yield pd.DataFrame(links, columns=["u", "v"])
 
     return of
 
 
+def _by_task(rows: DataFrame) -> DataFrame:
+    """Rows of a task side by side. Tasks cost time rather than bytes, so the partitions are not joined by size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *_TASK).sortWithinPartitions(*_TASK)
+
+
 def _late_links(members: DataFrame, labels: DataFrame, features: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
     """Links that the leaders missed, from buckets whose other members lie in several components."""
     kind = members.schema["node"].dataType.simpleString()
@@ -231,9 +286,11 @@ def _late_links(members: DataFrame, labels: DataFrame, features: DataFrame, text
     tasks = dealt.filter("minors > 0").withColumn("other", F.explode(partners)).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other"), "band": F.array_position("buckets", F.col("bucket")) - 1}
     )
-    sets = _sets(texts.join(open_members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"), rule)
-    tasks = tasks.join(sets, "node").select("bucket", "low", "high", "block", "band", "node", "component", "n", "buckets", "shingles", *_SKETCH)
-    return tasks.groupBy("bucket", "low", "high").applyInPandas(_block_links(rule), f"u {kind}, v {kind}")
+    bare = tasks.select(*_TASK, "block", "band", "node", "component", "n", "buckets", *_SKETCH)
+    # Sets are fetched for the rows that still have a candidate, and for no other.
+    near = stored(_by_task(bare).mapInPandas(_with_candidates(rule), bare.schema), "candidates")
+    sets = _sets(texts, near.select(F.col("node").alias("id")), rule)
+    return _by_task(near.join(sets, "node")).mapInPandas(_block_links(rule), f"u {kind}, v {kind}")
 
 
 def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,8 +326,8 @@ def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_i
         .select("u", "v")
     )
     near = stored(near, "pairs")
-    wanted = near.select(F.col("u").alias("id")).union(near.select(F.col("v").alias("id"))).distinct()
-    links = _star_links(near, _sets(texts.join(wanted, "id", "left_semi"), rule), rule)
+    wanted = near.select(F.col("u").alias("id")).union(near.select(F.col("v").alias("id")))
+    links = _star_links(near, _sets(texts, wanted, rule), rule)
     stars = components(links)
     late = _late_links(members, stars, features, texts, rule)
     roots = components(stars.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(late))
