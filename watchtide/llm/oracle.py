@@ -165,9 +165,9 @@ domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
 strengths AS (SELECT {_strength_sql("suffixes")} AS s, {_strength_sql("domains")} AS d, {_strength_sql("hosts")} AS h,
     (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) FROM hosts) AS whole),
-by_suffix AS (SELECT suffix, (bad + whole * s) / (n + s) AS m FROM suffixes, strengths),
-by_domain AS (SELECT d.domain, d.suffix, (d.bad + p.m * t.d) / (d.n + t.d) AS m FROM domains d JOIN by_suffix p USING (suffix), strengths t),
-by_host AS (SELECT x.host, x.n, t.h, (x.bad + p.m * t.h) / (x.n + t.h) AS m FROM hosts x JOIN by_domain p USING (domain, suffix), strengths t)
+by_domain AS (SELECT d.*, (p.bad - d.bad + t.whole * t.s) / (p.n - d.n + t.s) AS m FROM domains d JOIN suffixes p USING (suffix), strengths t),
+by_host AS (SELECT x.host, x.n, t.h, (x.bad + (p.bad - x.bad + p.m * t.d) / (p.n - x.n + t.d) * t.h) / (x.n + t.h) AS m
+    FROM hosts x JOIN by_domain p USING (domain, suffix), strengths t)
 SELECT page_id, host, path, CASE {" ".join(f"WHEN {fit} THEN '{h + p}'" for fit, (_, h, p) in zip(_FITS, _RULES))} END AS rule,
     CASE {" ".join(f"WHEN {fit} THEN '{v}'" for fit, (v, _, _) in zip(_FITS, _RULES))}
         WHEN m - 2.0::DOUBLE * sqrt(m * (1 - m) / (n + h + 1)) > 0.2 THEN 'block' ELSE 'allow' END AS verdict

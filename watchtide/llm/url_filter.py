@@ -101,10 +101,19 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, rule: Reputation = Re
     everything = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     of_all = (everything.bad + 0.5) / (everything.n + 1.0)
     by_suffix, by_domain, by_host = (_strength(x, rule) for x in (suffixes, domains, hosts))
-    shrunk = lambda prior, strength: (F.col("bad") + prior * strength) / (F.col("n") + strength)
-    suffixes = suffixes.select("suffix", shrunk(F.lit(of_all), by_suffix).alias("suffix_mean"))
-    domains = domains.join(suffixes, "suffix").select("domain", "suffix", shrunk(F.col("suffix_mean"), by_domain).alias("domain_mean"))
-    means = hosts.join(domains, ["domain", "suffix"]).select("host", "n", "bad", shrunk(F.col("domain_mean"), by_host).alias("mean"))
+
+    def shrunk(bad: Column, n: Column, prior: Column, strength: float) -> Column:
+        return (bad + prior * strength) / (n + strength)
+
+    # A parent's share is taken without the pages of the child, which would otherwise count twice.
+    above = suffixes.select("suffix", F.col("n").alias("suffix_n"), F.col("bad").alias("suffix_bad"))
+    rest = F.col("suffix_bad") - F.col("bad"), F.col("suffix_n") - F.col("n")
+    domains = domains.join(above, "suffix").select(
+        "domain", "suffix", F.col("n").alias("domain_n"), F.col("bad").alias("domain_bad"), shrunk(*rest, F.lit(of_all), by_suffix).alias("suffix_mean")
+    )
+    rest = F.col("domain_bad") - F.col("bad"), F.col("domain_n") - F.col("n")
+    prior = shrunk(*rest, F.col("suffix_mean"), by_domain)
+    means = hosts.join(domains, ["domain", "suffix"]).select("host", "n", "bad", shrunk(F.col("bad"), F.col("n"), prior, by_host).alias("mean"))
     low = F.col("mean") - rule.deviations * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + by_host + 1))
     return means.withColumn("low", low)
 
