@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import given, settings as hypothesis_settings, strategies as st
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from watchtide.functions import text as T
 from watchtide.functions.severity import BANDS, severity_level, severity_level_flat
-from watchtide.functions.times import clamp_lookback, hour, seconds_between, timespan, whole_share
+from watchtide.functions.times import clamp_lookback, hour, seconds_between, timespan, utc_day, whole_share
 from watchtide.functions.variant import canonical_json, has_content, is_number, is_object, member
 
 
@@ -150,6 +150,10 @@ def test_timespan_rejects_other_text():
 
 
 def test_time_and_share_columns(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    moment = F.lit(datetime(2025, 3, 18, 23, 45, tzinfo=timezone.utc))
+    assert one(spark, F.unix_seconds(hour(moment)) % 86400) == 23 * 3600 and str(one(spark, utc_day(moment))) == "2025-03-18"
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     later, earlier = F.lit("2025-03-18 18:47:17.5").cast("timestamp"), F.lit("2025-03-18 18:00:00").cast("timestamp")
     assert one(spark, seconds_between(later, earlier)) == 2837.5
     assert one(spark, hour(later).cast("string")) == "2025-03-18 18:00:00"

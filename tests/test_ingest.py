@@ -3,6 +3,7 @@ from __future__ import annotations
 import copy
 import gzip
 import json
+from datetime import timedelta
 
 import pytest
 from pyspark.errors import PySparkException
@@ -42,6 +43,11 @@ def test_export_files(spark, finding, tmp_path):
     assert [(r.raw, r.contract_error) for r in quarantine.collect()] == [('{"id": "cut', "line is not valid JSON")]
 
 
+def test_a_repeated_key_keeps_its_last_value(spark):
+    row = lines(spark, '{"id": "first", "id": "last"}').select(F.to_json("event").alias("e"), "contract_error").first()
+    assert (row.e, row.contract_error) == ('{"id":"last"}', None)
+
+
 def test_batch_envelopes(spark, finding):
     other = changed(finding, id="f2")
     rows = explode_batches(
@@ -247,6 +253,16 @@ def test_flat_record(spark, finding, small_finding):
     assert (row.RemoteIp, row.ApiName, row.AwsRegion) == ("192.0.2.9", "GetObject", "eu-west-1")
 
 
+def test_a_table_is_the_same_in_every_zone(spark, finding, tmp_path):
+    late, early = changed(finding, id="late", updatedAt="2025-03-18T23:30:00.000001Z"), changed(finding, id="early", updatedAt="2025-03-18T00:00:00Z")
+    path = str(tmp_path / "zones")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    write_findings(table(spark, late, early), path)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {r.Id for r in findings(spark, path, "1d", AS_OF).collect()} == {"late", "early"}
+    assert findings(spark, path).agg(F.max(F.unix_micros("TimeGenerated")) % 1_000_000).first()[0] == 1
+
+
 def test_table_files(spark, finding, tmp_path):
     old = changed(finding, id="f0", updatedAt="2025-02-20T00:00:00Z")
     path = str(tmp_path / "table")
@@ -257,5 +273,7 @@ def test_table_files(spark, finding, tmp_path):
     assert [r.Id for r in findings(spark, path, "7d", AS_OF).collect()] == ["f1"]
     counted = table_counts({"findings": findings(spark, path), "none": findings(spark, path).filter("false")})
     assert [(r.TableName, r.Records) for r in counted.collect()] == [("findings", 2)]
+    both = {"Findings": findings(spark, path), "other": findings(spark, path)}
+    assert [(r.TableName, r.Records) for r in table_counts(both, "find", AS_OF - timedelta(days=7)).collect()] == [("Findings", 1)]
     with pytest.raises(ValueError, match="no tables"):
         table_counts({})

@@ -17,7 +17,11 @@ EVENT_SOURCE = "aws.guardduty"
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """``(raw, event, contract_error)`` from a ``raw`` text column. A line that is not JSON is an error, not a loss."""
+    """``(raw, event, contract_error)`` from a ``raw`` text column. A line that is not JSON is an error, not a loss.
+
+    Of a key that an object repeats the last value counts.
+    """
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     event = F.try_parse_json("raw")
     return (
         lines.select("raw", event.alias("event"))

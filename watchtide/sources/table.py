@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 
 from watchtide.functions.severity import severity_level_flat
 from watchtide.functions.text import first_text
-from watchtide.functions.times import day_at, utc_day
+from watchtide.functions.times import at, day_at, utc_day
 from watchtide.functions.variant import canonical_json, has_content, is_object, member, nullable_text, part
 
 # Columns of the findings table, in contract order.
@@ -151,10 +151,18 @@ def findings(spark: SparkSession, path: str, lookback=None, as_of: datetime | No
     return table.select(*FINDINGS.names)
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each given table: ``(TableName, Records)``. Tables without rows give no row."""
+def table_counts(tables: dict[str, DataFrame], prefix: str = "", since: datetime | None = None) -> DataFrame:
+    """Row count of each given table: ``(TableName, Records)``. Tables without rows give no row.
+
+    ``prefix`` keeps the tables whose name starts with it, in any case; ``since`` counts rows with a later
+    ``TimeGenerated`` only.
+    """
     counted = None
     for name, df in tables.items():
+        if not name.lower().startswith(prefix.lower()):
+            continue
+        if since is not None:
+            df = df.filter(F.col("TimeGenerated") > at(since))
         one = df.select(F.lit(name).alias("TableName")).groupBy("TableName").agg(F.count(F.lit(1)).alias("Records"))
         counted = one if counted is None else counted.unionByName(one)
     if counted is None:
