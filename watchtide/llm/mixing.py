@@ -70,12 +70,13 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id: str = "doc_id", text: str = "te
         hash_key(docs[id], F.lit(mix.seed)).alias("_key"),
         size.alias("size"),
     )
-    sums = stored(sized.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")), "sources")
+    keys = stored(sized.select("_source", "_key", "size"), "sizes")
+    sums = stored(keys.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")), "sources")
     plan = stored(targets(sums.withColumnRenamed("_source", "source"), mix), "targets")
     rows = plan.agg(F.coalesce(F.sum("source_rows"), F.lit(0))).first()[0]
     plan = plan.select(F.col("source").alias("_plan"), "source_size", "rank", "target")
-    dealt = sized.join(plan, F.col("_source").eqNullSafe(F.col("_plan"))).withColumnRenamed("rank", "_rank")
-    placed = running_total(dealt, "_rank", "_key", ["_id", "size"], "size", "_before", rows)
+    dealt, narrow = (x.join(plan, F.col("_source").eqNullSafe(F.col("_plan"))).withColumnRenamed("rank", "_rank") for x in (sized, keys))
+    placed = running_total(dealt, "_rank", "_key", ["_id", "size"], "size", "_before", rows, narrow)
     budget = F.round("target").cast("bigint")
     share = F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(0)
     passes = F.when(F.col("source_size") > 0, F.expr("_budget div source_size")).otherwise(1)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from watchtide.storage import stored
 
 #: Rows that share a bucket of a running total, on average.
-BUCKET_ROWS = 1 << 16
+BUCKET_ROWS = 1 << 13
 KEY_BITS = 52
 
 
@@ -19,16 +19,18 @@ def hash_key(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
 
 
-def running_total(df: DataFrame, group: str, key: str, ties: list[str], value: str, name: str, rows: int) -> DataFrame:
+def running_total(df: DataFrame, group: str, key: str, ties: list[str], value: str, name: str, rows: int, sums: DataFrame | None = None) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over earlier rows of the same ``group``, by ``key``, then ``ties``.
 
     ``key`` is a ``hash_key``, so its leading bits cut every group, however large, into even buckets of about
     ``BUCKET_ROWS`` of the ``rows`` in all. Bucket sums are added up first and handed to the buckets, which then run
-    side by side. Column names starting with ``_`` are used inside.
+    side by side. ``sums`` may give ``group``, ``key`` and ``value`` of the same rows from where they are cheaper to
+    read. Column names starting with ``_`` are used inside.
     """
     width = 2**KEY_BITS // max(1, math.ceil(rows / BUCKET_ROWS)) + 1
-    dealt = df.withColumn("_bucket", F.expr(f"{key} div {width}"))
-    sums = dealt.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
+    bucket = F.expr(f"{key} div {width}")
+    dealt = df.withColumn("_bucket", bucket)
+    sums = (df if sums is None else sums).withColumn("_bucket", bucket).groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stored(sums.select(group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")), "offsets")
     earlier = Window.partitionBy(group, "_bucket").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
