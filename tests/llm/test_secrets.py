@@ -86,3 +86,37 @@ def test_empty_table_and_own_columns(spark):
     assert with_secrets(empty).collect() == []
     one = with_secrets(spark.createDataFrame([("a", "b", 3)], "text string, kind string, start int"), classes=ENTROPY[:1])
     assert one.columns == ["text", "kind", "start", "secrets"] and one.first().secrets == []
+
+
+def test_allow_list_covers_its_own_part_only(spark):
+    key, slashed = "aZ9bY8cX7dW6eV5fU4gT3hS2", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ9v8T2sLm"
+    slack = f"T01ABCD2EFG/B03HIJK4LMN/{key}"
+    image, digest = "iVBORw0KGgo" + "aZ9bY8cX7dW6eV5f" * 4, "q1W2e3R4t5Y6u7I8o9P0a1S2d3F4g5H6j7K8l9Z0x1C"
+    hidden = {
+        f"see hooks.slack.com/services/{slack} now": slack,
+        f"/src/main/java/org/conf/{key}": key,
+        f"usr/local/etc/{slashed}": slashed,
+        slashed: slashed,
+        f"sample_{key}": f"_{key}",
+        f"sample{key}": key,
+        f"example/{key}": f"/{key}",
+        f"{key}/EXAMPLE": f"{key}/",
+        f"{key}-sample": f"{key}-",
+        f"12345678{key}": key,
+        f"00000000{key}": key,
+        f"sha256-{digest}_{key}": f"_{key}",
+        f"{image}_{key}": f"_{key}",
+        "F3A9C07B5E1D2846F3A9C07B00000000": "F3A9C07B5E1D2846F3A9C07B",
+    }
+    for text, found in zip(hidden, scan(spark, list(hidden))):
+        start = text.index(hidden[text])
+        assert [s[1:] for s in found] == [(start, start + len(hidden[text]), hidden[text])], text
+    harmless = [
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        "github.com/Org3/my-repo_2/blob/main/docs/Release2024/Notes12",
+        f"sha256-{digest}",
+        image,
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+        "123E4567-e89b-12d3-A456-426614174000",
+    ]
+    assert scan(spark, harmless) == [[] for _ in harmless]

@@ -1,9 +1,10 @@
 """Secrets in text: known forms by pattern, and unknown ones by the entropy of a sliding window.
 
-A *candidate* is a run of the characters that keys are written in. A window of fixed width slides over it and keeps
+Runs of the characters that keys are written in lose the parts that the allow-list knows as something harmless; what is
+left of a run is judged by itself. A *candidate* is a run of one class's characters in what is left. A window of fixed width slides over it and keeps
 the number of times each character is inside; a step changes two of these counts, and with them the sum of
 ``c * log2(c)``, from which the Shannon entropy follows. Each character class has its own alphabet, width and limit. A
-candidate whose highest window passes the limit is a secret, unless the allow-list knows it as something harmless.
+candidate whose highest window passes the limit is a secret.
 Only built-in functions are used, and no shuffle.
 """
 
@@ -41,13 +42,32 @@ ENTROPY = (
     EntropyClass("entropy_base64", "A-Za-z0-9+/_-", 24, 3.95, r"(?s)^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"),
 )
 
-#: Candidates that match are no secrets: example keys, alphabets in order, image data, integrity sums, long paths, UUIDs.
+#: What a run is made of, besides the characters of the classes in use. It ends with a hyphen.
+RUN = "A-Za-z0-9+/_-"
+
+
+def _ordered(signs: str, least: int = 8) -> str:
+    """The first ``least`` of ``signs`` and as many of the next as follow in order."""
+    more = ""
+    for sign in reversed(signs[least:]):
+        more = f"(?:{sign}{more})?"
+    return signs[:least] + more
+
+
+#: A part of a path that reads like one: words, numbers and very short names. Keys are rarely made of such parts only.
+_NAME = r"(?:(?:[A-Z]?[a-z]{2,14}|[A-Z]{2,14})(?:[A-Z][a-z]{2,14}){0,2}[0-9]{0,4}|[0-9]{1,8}|[A-Za-z0-9]{1,3})"
+_SEGMENT = rf"{_NAME}(?:[_-]{_NAME}){{0,4}}"
+
+#: Harmless parts of a run: example keys, alphabets in order, image data, integrity sums, paths, UUIDs. A part covers
+#: what the pattern matches and nothing else; the rest of the run is judged. A placeholder word covers itself, and at
+#: the end of a run the rest of an example key of 40 characters.
 ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|x{6}|0{8}",
-    r"(?i)abcdefgh|01234567|12345678",
-    r"^(?:iVBORw0KGgo|R0lGOD|/9j/|PHN2Zy)",
-    r"^sha(?:256|384|512)-",
-    r"^/?(?:[A-Za-z0-9_-]{1,15}/){3,}",
+    r"[A-Za-z0-9+/]{0,32}[A-Za-z0-9+]EXAMPLE(?:KEY)?$",
+    r"(?i:example|sample|placeholder|changeme|x{6,}|0{8,})",
+    rf"(?i:{_ordered('abcdefghijklmnopqrstuvwxyz')}|{_ordered('0123456789')}|{_ordered('1234567890')})",
+    r"^(?:iVBORw0KGgo|R0lGOD|/9j/|PHN2Zy)[A-Za-z0-9+/]*",
+    r"^sha(?:256-[A-Za-z0-9+/]{0,43}|384-[A-Za-z0-9+/]{0,64}|512-[A-Za-z0-9+/]{0,86})",
+    rf"^/?(?:{_SEGMENT}/){{2,}}(?:{_SEGMENT}$)?",
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
 )
 
@@ -72,6 +92,23 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
     return F.aggregate(zipped, start, step, lambda state: state["found"])
 
 
+def _rest(run: Column, allow: tuple[str, ...]) -> Column:
+    """Structs like those of ``_matches`` of the parts of a run that no pattern of ``allow`` matches."""
+    whole = F.struct(run["start"].alias("start"), run["whole"].alias("whole"), run["whole"].alias("part"))
+    if not allow:
+        return F.array(whole)
+    pattern = "|".join(f"(?:{a})" for a in allow)
+    zipped = F.arrays_zip(F.split(run["whole"], pattern, -1).alias("gap"), F.regexp_extract_all(run["whole"], F.lit(pattern), F.lit(0)).alias("cut"))
+    start = F.struct(run["start"].alias("end"), F.array().cast("array<struct<start:int,whole:string,part:string>>").alias("found"))
+
+    def step(state: Column, x: Column) -> Column:
+        piece = F.struct(state["end"].alias("start"), x["gap"].alias("whole"), x["gap"].alias("part"))
+        end = state["end"] + F.length(x["gap"]) + F.coalesce(F.length(x["cut"]), F.lit(0))
+        return F.struct(end.alias("end"), F.concat(state["found"], F.array(piece)).alias("found"))
+
+    return F.when(run["whole"].rlike(pattern), F.aggregate(zipped, start, step, lambda state: state["found"])).otherwise(F.array(whole))
+
+
 def highest_entropy(candidate: Column, width: int) -> Column:
     """The greatest Shannon entropy, in bits per character, of ``width`` neighbouring ASCII characters; else null.
 
@@ -101,7 +138,7 @@ def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClas
 
     Starts and ends count code points, ends are exclusive. ``assign``, ``access`` and ``hex`` are spans of the known
     forms and are never suppressed; ``entropy`` is null for them. Classes add candidates of their alphabet that pass
-    their limit, lie in no known span and are not allow-listed. Null texts, and texts without secrets, have an empty
+    their limit and lie in no known span; ``allow`` cuts candidates, and suppresses nothing beside what it matches. Null texts, and texts without secrets, have an empty
     array. A column named ``secrets`` gives way; others are left alone.
     """
     whole = F.coalesce(docs[text], F.lit(""))
@@ -110,9 +147,11 @@ def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClas
     columns = {}
     for kind, pattern, group, _ in KNOWN:
         columns[f"_{kind}"] = F.when(whole.rlike(gates[kind]), _matches(whole, pattern, group)).otherwise(nothing)
-    for c in classes:
-        pattern = f"[{c.characters}]{{{c.width},}}"
-        columns[f"_{c.kind}"] = F.when(whole.rlike(pattern), _matches(whole, pattern, 0)).otherwise(nothing)
+    if classes:
+        signs = "".join(c.characters.rstrip("-") for c in classes) + RUN
+        pattern = f"[{signs}]{{{min(c.width for c in classes)},}}"
+        runs = F.when(whole.rlike(pattern), _matches(whole, pattern, 0)).otherwise(nothing)
+        columns["_pieces"] = F.flatten(F.transform(runs, lambda run: _rest(run, allow)))
 
     def span(hit: Column, rank: int, kind: str, entropy: Column) -> Column:
         return F.struct(
@@ -131,13 +170,15 @@ def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClas
     known = [base(rank, kind, least) for rank, (kind, _, _, least) in enumerate(KNOWN)]
 
     def scored(c: EntropyClass, rank: int) -> Column:
-        def fit(hit: Column) -> Column:
-            keep = hit["whole"].rlike(c.must)
-            for pattern in allow:
-                keep = keep & ~hit["whole"].rlike(pattern)
-            return keep
+        pattern = f"[{c.characters}]{{{c.width},}}"
+
+        def within(piece: Column) -> Column:
+            moved = lambda hit: F.struct((piece["start"] + hit["start"]).alias("start"), hit["whole"].alias("whole"), hit["part"].alias("part"))
+            return F.transform(_matches(piece["whole"], pattern, 0), moved)
 
-        spans = F.transform(F.filter(f"_{c.kind}", fit), lambda hit: span(hit, rank, c.kind, highest_entropy(hit["whole"], c.width)))
+        hits = F.flatten(F.transform(F.filter("_pieces", lambda piece: piece["whole"].rlike(pattern)), within))
+        fit = F.filter(hits, lambda hit: hit["whole"].rlike(c.must))
+        spans = F.transform(fit, lambda hit: span(hit, rank, c.kind, highest_entropy(hit["whole"], c.width)))
         return F.filter(spans, lambda s: s["entropy"] >= c.bits)
 
     found = docs.drop("secrets").withColumns(columns)
