@@ -120,3 +120,34 @@ def test_allow_list_covers_its_own_part_only(spark):
         "123E4567-e89b-12d3-A456-426614174000",
     ]
     assert scan(spark, harmless) == [[] for _ in harmless]
+
+
+def test_random_keys_of_every_alphabet_without_a_keyword(spark):
+    planted = {
+        "k3v9q0zt7xw1m5bj8r2y": "entropy_base36",
+        "q7x2m9vk4tz8w1jh5ncb3rpd6yfg0sla": "entropy_base36",
+        "JBSWY3DPEHPK3PXP": "entropy_base32",
+        "N5QXI7DMK2ZR4WVGT6HYBJ3LCUEAPSOF": "entropy_base32",
+        "qZxWvKjHtRmNbYcLpGfDsQaE": "entropy_letters",
+        "qzkxvwjhpfmbtygrdlcnsaoeui": "entropy_lower",
+        "QZKXVWJHPFMBTYGRDLCNSAOEUI": "entropy_upper",
+        "aZ9bY8cX7dW6eV5fU4gT": "entropy_base64",
+        "aZ9bY8cX7dW6eV5fU4gT3hS": "entropy_base64",
+    }
+    found = scan(spark, [f"use {key}, please" for key in planted])
+    assert found == [[(kind, 4, 4 + len(key), key)] for key, kind in planted.items()]
+    plain_words = [
+        "counterrevolutionaries misunderstandings electroencephalographically",
+        "SimpleBeanFactoryAwareAspectInstanceFactory getElementsByTagName MAX_CONNECTIONS_PER_HOST",
+        "backup20240115 ORDER2024 section12of40 20240115",
+    ]
+    assert scan(spark, plain_words) == [[] for _ in plain_words]
+
+
+def test_limits_find_most_random_keys(spark):
+    draw = random.Random(11)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = (lower + digits, lower.upper() + "234567", lower + lower.upper() + digits, lower, lower + lower.upper())
+    for alphabet in alphabets:
+        keys = ["".join(draw.choice(alphabet) for _ in range(32)) for _ in range(100)]
+        assert sum(f != [] for f in scan(spark, keys)) >= 85, alphabet

@@ -37,9 +37,19 @@ class EntropyClass:
     must: str
 
 
+#: Limits that most random keys of a class's shortest length pass, and that words, names and numbers seldom do.
 ENTROPY = (
     EntropyClass("entropy_hex", "0-9A-F", 20, 2.9, r"[0-9][A-F]|[A-F][0-9]"),
-    EntropyClass("entropy_base64", "A-Za-z0-9+/_-", 24, 3.95, r"(?s)^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"),
+    EntropyClass("entropy_base64", "A-Za-z0-9+/_-", 20, 3.7, r"(?s)^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"),
+)
+
+#: Keys of fewer kinds of characters. A candidate inside one of another class is reported once, as the longer one.
+NARROW = (
+    EntropyClass("entropy_base36", "a-z0-9", 20, 3.5, r"(?s)^(?=.*[a-z])(?=.*[0-9])"),
+    EntropyClass("entropy_base32", "A-Z0-9", 16, 3.1, r"(?s)^(?=.*[A-Z])(?=.*[0-9])"),
+    EntropyClass("entropy_letters", "A-Za-z", 24, 3.95, r"(?s)^(?=.*[a-z])(?=.*[A-Z])"),
+    EntropyClass("entropy_lower", "a-z", 24, 3.7, "[a-z]"),
+    EntropyClass("entropy_upper", "A-Z", 24, 3.7, "[A-Z]"),
 )
 
 #: What a run is made of, besides the characters of the classes in use. It ends with a hyphen.
@@ -58,7 +68,7 @@ def _ordered(signs: str, least: int = 8) -> str:
 _NAME = r"(?:(?:[A-Z]?[a-z]{2,14}|[A-Z]{2,14})(?:[A-Z][a-z]{2,14}){0,2}[0-9]{0,4}|[0-9]{1,8}|[A-Za-z0-9]{1,3})"
 _SEGMENT = rf"{_NAME}(?:[_-]{_NAME}){{0,4}}"
 
-#: Harmless parts of a run: example keys, alphabets in order, image data, integrity sums, paths, UUIDs. A part covers
+#: Harmless parts of a run: example keys, alphabets in order, image data, integrity sums, names of four words, paths, UUIDs. A part covers
 #: what the pattern matches and nothing else; the rest of the run is judged. A placeholder word covers itself, and at
 #: the end of a run the rest of an example key of 40 characters.
 ALLOW = (
@@ -67,6 +77,7 @@ ALLOW = (
     rf"(?i:{_ordered('abcdefghijklmnopqrstuvwxyz')}|{_ordered('0123456789')}|{_ordered('1234567890')})",
     r"^(?:iVBORw0KGgo|R0lGOD|/9j/|PHN2Zy)[A-Za-z0-9+/]*",
     r"^sha(?:256-[A-Za-z0-9+/]{0,43}|384-[A-Za-z0-9+/]{0,64}|512-[A-Za-z0-9+/]{0,86})",
+    r"(?:[A-Z][a-z]{2,14}){4,}",
     rf"^/?(?:{_SEGMENT}/){{2,}}(?:{_SEGMENT}$)?",
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
 )
@@ -117,9 +128,9 @@ def highest_entropy(candidate: Column, width: int) -> Column:
     weigh = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(width + 2)])
     start = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"))
 
-    def step(state: Column, i: Column) -> Column:
-        enters = F.ascii(F.substring(candidate, i, F.lit(1)))
-        leaves = F.when(i > width, F.ascii(F.substring(candidate, i - width, F.lit(1)))).otherwise(-1)
+    def step(codes: Column, state: Column, i: Column) -> Column:
+        enters = F.get(codes, i - 1)
+        leaves = F.when(i > width, F.get(codes, i - width - 1)).otherwise(-1)
         count = lambda code: F.coalesce(F.get(state["counts"], code), F.lit(0))
         gain = F.get(weigh, count(enters) + 1) - F.get(weigh, count(enters))
         loss = F.when(leaves >= 0, F.get(weigh, count(leaves)) - F.get(weigh, count(leaves) - 1)).otherwise(0.0)
@@ -130,10 +141,13 @@ def highest_entropy(candidate: Column, width: int) -> Column:
     def finish(state: Column) -> Column:
         return F.when(state["least"] < float("inf"), math.log2(width) - state["least"] / width)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, step, finish)
+    # The codes are an argument of a function, so that they are made once and not at every step.
+    codes = F.array(F.transform(F.split(candidate, ""), lambda c: F.ascii(c)))
+    steps = F.sequence(F.lit(1), F.length(candidate))
+    return F.get(F.transform(codes, lambda codes: F.aggregate(steps, start, lambda state, i: step(codes, state, i), finish)), 0)
 
 
-def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClass, ...] = ENTROPY, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClass, ...] = ENTROPY + NARROW, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """``docs`` with ``secrets``: an array of ``(start, rank, kind, end, value, entropy)`` ordered by start, then kind.
 
     Starts and ends count code points, ends are exclusive. ``assign``, ``access`` and ``hex`` are spans of the known
@@ -177,7 +191,7 @@ def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClas
             return F.transform(_matches(piece["whole"], pattern, 0), moved)
 
         hits = F.flatten(F.transform(F.filter("_pieces", lambda piece: piece["whole"].rlike(pattern)), within))
-        fit = F.filter(hits, lambda hit: hit["whole"].rlike(c.must))
+        fit = F.filter(hits, lambda hit: hit["whole"].rlike(c.must) & ~F.exists("_known", lambda k: (k["start"] <= hit["start"]) & (k["end"] >= hit["start"] + F.length(hit["whole"]))))
         spans = F.transform(fit, lambda hit: span(hit, rank, c.kind, highest_entropy(hit["whole"], c.width)))
         return F.filter(spans, lambda s: s["entropy"] >= c.bits)
 
@@ -185,7 +199,12 @@ def with_secrets(docs: DataFrame, text: str = "text", classes: tuple[EntropyClas
     found = found.withColumn("_known", F.concat(*known))
     extra = F.concat(*[scored(c, len(KNOWN) + i) for i, c in enumerate(classes)]) if classes else None
     if extra is not None:
-        new = F.filter(extra, lambda s: ~F.exists("_known", lambda k: (k["start"] <= s["start"]) & (k["end"] >= s["end"])))
+        narrow = F.array(*[F.lit(c.kind) for c in classes if c in NARROW]) if set(classes) & set(NARROW) else F.array(F.lit(""))
+        around = lambda k, s: (k["start"] <= s["start"]) & (k["end"] >= s["end"])
+        longer = lambda k, s: around(k, s) & ((F.length(k["value"]) > F.length(s["value"])) | (k["rank"] < s["rank"]))
+        found = found.withColumn("_extra", extra)
+        inside = lambda s: F.array_contains(narrow, s["kind"]) & F.exists("_extra", lambda k: longer(k, s))
+        new = F.filter("_extra", lambda s: ~inside(s))
         found = found.withColumn("secrets", F.array_sort(F.concat("_known", new)))
     else:
         found = found.withColumn("secrets", F.array_sort("_known"))
