@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from watchtide.llm.decontaminate import contained_items
+from watchtide.llm.importance import resampled
 from watchtide.llm.line_dedup import dedup_lines
 from watchtide.llm.mixing import mixed
 from watchtide.llm.oracle import ORACLE  # noqa: F401
 from watchtide.llm.neardup import NearDup, near_duplicates
+from watchtide.llm.packing import packed
+from watchtide.llm.periodic import with_runs
 from watchtide.llm.quality import fit, with_scores
 from watchtide.llm.secrets import KNOWN, with_secrets
 from watchtide.llm.sharding import grown, planned, with_shards, with_slots
@@ -118,3 +122,43 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome of a page is the quality label of the document that has its number: the tables link them no other way."""
     outcomes = given(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
     return url_verdicts(given(spark, sf_dir, "pages"), outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packed(given(spark, sf_dir, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def planted(id: Column, text: Column) -> Column:
+    """The text, its words made periodic from some word on for one id in ten, as the hash of the id says."""
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, h = F.size(words).cast("bigint"), F.coalesce(F.crc32(id.cast("string").cast("binary")), F.lit(1))
+    g = F.floor(h / 10)
+    a = (g % n).cast("int")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    unit = F.slice(words, a + 1, period)
+    times = F.ceil((n - a) / period).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), (n - a).cast("int"))
+    made = F.array_join(F.concat(F.slice(words, F.lit(1), a), repeated), " ")
+    return F.when((h % 10 == 0) & (n > 0), made).otherwise(text)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    found = with_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    longer = lambda best, run: run["length"] * best["period"] > best["length"] * run["period"]
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    best = F.aggregate("runs", none, lambda best, run: F.when(best.isNull() | longer(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    digest = lambda column: F.sha2(column.cast("binary"), 256)
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), digest(F.array_join(lines, "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampled(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
