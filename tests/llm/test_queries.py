@@ -24,8 +24,8 @@ def test_same_rows(spark, oracle, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(QUERIES) - set(ORACLE) == {"op2_quality_classifier", "op5_benchmark_decontamination"}
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(QUERIES) - set(ORACLE) == {"op2_quality_classifier", "op5_benchmark_decontamination", "op11_packing"}
     assert "pipeline" in entry.queries()
 
 

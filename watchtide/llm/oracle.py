@@ -174,6 +174,55 @@ SELECT page_id, host, path, CASE {" ".join(f"WHEN {fit} THEN '{h + p}'" for fit,
 FROM urls JOIN by_host USING (host)
 """
 
+#: The unsigned CRC-32 of text ``x``, byte by byte from a table of 256 remainders ``t``.
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode({x})), '..'),
+        lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+#: Words ``period`` apart are joined on being equal; neighbours of one period make a stretch, the least period of a stretch is its own.
+OP12 = rf"""
+WITH crc AS {_CRC_TABLE},
+split AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    {_CRC.format(x="doc_id::VARCHAR")} AS h FROM documents, crc),
+sized AS (SELECT *, len(w)::BIGINT AS n, h // 10 AS g FROM split),
+cut AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM sized),
+unit AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+docs AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM unit),
+words AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM docs),
+pairs AS (SELECT x.doc_id, y.i - x.i AS period, x.i FROM words x JOIN words y USING (doc_id, word) WHERE y.i > x.i AND y.i - x.i <= x.n // 3),
+stretches AS (SELECT doc_id, period, i, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS stretch FROM pairs),
+long AS (SELECT doc_id, period, min(i) AS start, count(*) + period AS length FROM stretches GROUP BY doc_id, period, stretch HAVING count(*) + period >= greatest(24, 3 * period)),
+runs AS (SELECT doc_id, start, length, min(period) AS period FROM long GROUP BY doc_id, start, length),
+lost AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    list(struct_pack(s := start, l := length, p := period) ORDER BY start, period) AS r FROM runs GROUP BY doc_id),
+best AS (SELECT *, list_reduce(r, lambda b, x: CASE WHEN x.l * b.p > b.l * x.p THEN x ELSE b END) AS b FROM found)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.l::BIGINT AS length, b.p::BIGINT AS period, (1000 * b.l // b.p)::BIGINT AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN best USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+OP13 = rf"""
+WITH crc AS {_CRC_TABLE},
+texts AS (SELECT 0 AS side, row_number() OVER () AS doc, doc_id, text FROM documents UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+split AS (SELECT side, doc, doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+listed AS (SELECT *, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM split),
+features AS (SELECT side, doc, unnest(f) AS f FROM listed),
+counted AS (SELECT side, doc, f, count(*) AS n FROM features GROUP BY ALL),
+hashed AS (SELECT f, {_CRC.format(x="f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM counted), crc),
+placed AS (SELECT side, doc, bucket, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+buckets AS (SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t FROM placed GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM buckets) + 10000) / ((s + 1) * ((SELECT sum(t) FROM buckets) + 10000))))::BIGINT AS gain FROM buckets),
+sums AS (SELECT doc, sum(n * gain)::BIGINT AS gain FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc),
+weighed AS (SELECT doc_id, len(w) AS n_words, len(f)::BIGINT AS n_features, CASE WHEN len(f) = 0 THEN 0 ELSE (gain - ((gain % len(f)) + len(f)) % len(f)) // len(f) END::BIGINT AS weight,
+    ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM listed LEFT JOIN sums USING (doc) WHERE side = 0),
+scored AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score FROM weighed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, 25 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END::BIGINT AS rank FROM ranked
+"""
+
 ORACLE = {
     "op1_secret_scan": OP1,
     "op3_near_duplicates": OP3,
@@ -183,4 +232,6 @@ ORACLE = {
     "op8_mixing": OP8,
     "op9_exact_top_k": OP9,
     "op10_url_filter": OP10,
+    "op12_periodic_runs": OP12,
+    "op13_resampling": OP13,
 }

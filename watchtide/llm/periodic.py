@@ -197,6 +197,6 @@ def with_runs(docs: DataFrame, text: str | Column = "text", rule: RunRule = RunR
         lists = pa.ListArray.from_arrays(pa.array(offsets), structs)
         return pa.StructArray.from_arrays([lists, pa.array([c for _, c in results], pa.string())], names=["runs", "collapsed"])
 
-    kept = [docs[c] for c in docs.columns if c not in ("runs", "collapsed")]
     given = docs[text] if isinstance(text, str) else text
-    return docs.select(*kept, found(given).alias("_found")).select(*[c for c in docs.columns if c not in ("runs", "collapsed")], "_found.*")
+    kept = F.struct(*[docs[c] for c in docs.columns if c not in ("runs", "collapsed")])
+    return docs.select(kept.alias("kept"), found(given).alias("found")).select("kept.*", "found.*")
