@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from watchtide.llm.secrets import ENTROPY, highest_entropy, with_secrets
@@ -56,7 +58,7 @@ def test_entropy_equals_counting(spark):
     draw = random.Random(5)
     texts = ["".join(draw.choice("aAbB019/+_") for _ in range(n)) for n in (24, 25, 60, 200)] + ["a" * 40, "ab"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = [r.e for r in rows.select("i", highest_entropy(F.col("t"), 24).alias("e")).orderBy("i").collect()]
+    got = [r.e for r in rows.select("i", highest_entropy(F.col("t"), F.lit(24), 24).alias("e")).orderBy("i").collect()]
 
     def entropy(window):
         return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
@@ -151,3 +153,18 @@ def test_limits_find_most_random_keys(spark):
     for alphabet in alphabets:
         keys = ["".join(draw.choice(alphabet) for _ in range(32)) for _ in range(100)]
         assert sum(f != [] for f in scan(spark, keys)) >= 85, alphabet
+
+
+@pytest.mark.parametrize("text", ["abc/" * 100_000, "Abcd" * 100_000, "/" + "Some_Name-two/" * 40_000, "exampleabcdefghij" * 20_000, "x" * 300_000, "sha256-" * 50_000])
+def test_long_harmless_runs_end_no_executor(spark, text):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [s.kind for s in with_secrets(df).first().secrets] == []
+
+
+def test_many_matches_keep_their_places(spark):
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(20_000)]
+    text = "é ".join(keys) + " token=" + "Zz09" * 4
+    found = with_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().secrets
+    assert [(s.start, s.end, s.value) for s in found if s.kind == "hex"] == [(34 * i, 34 * i + 32, k) for i, k in enumerate(keys)]
+    assert [(s.start, s.end) for s in found if s.kind == "assign"] == [(34 * 20_000 - 1, len(text))]
+    assert len(found) == 20_001

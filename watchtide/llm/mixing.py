@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from watchtide.llm.prefix import hash_key, running_total
+from watchtide.llm.prefix import attached, hash_key, running_total, with_rows
 from watchtide.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,8 +93,12 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id: str = "doc_id", text: str = "te
 
 
 def repeated(docs: DataFrame, mix: Mix, **names: str) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each row as often as the mix takes it, whole."""
+    """The mix itself: the columns of ``docs``, each row as often as the mix takes it, whole.
+
+    Keys and sizes are ordered, texts are not: the copies are joined to them.
+    """
     names = {"id": "doc_id", "text": "text", "source": "source"} | names
-    packed = docs.select(F.struct("*").alias("_all"), *[docs[c].alias(k) for k, c in names.items()])
-    rows = mixed(packed, mix, "id", "text", "source", keep=["_all"]).filter("copies > 0")
-    return rows.select("_all", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_all.*")
+    rows = with_rows(docs, "rows")
+    narrow = rows.select("_row", *[F.col("_all")[c].alias(k) for k, c in names.items()])
+    taken = mixed(narrow, mix, "id", "text", "source", keep=["_row"]).filter("copies > 0").select("_row", "copies")
+    return attached(rows, taken).select("_all", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_all.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from watchtide.llm.secrets import ALLOW, ASSIGN, ENTROPY
+from watchtide.llm.secrets import ALLOW, ASSIGN, ENTROPY, NARROW
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 KEY = "('0x' || substr(md5(concat_ws('/', {})), 1, 13))::BIGINT"
@@ -12,38 +12,54 @@ def _text(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-def _spans_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
-    """Spans of one kind: pieces between matches and matches, added up."""
+def _spans_sql(kind: str, rank: int, pattern: str, group: int, least: int, texts: str = "docs") -> str:
+    """Spans of one kind in ``texts (doc_id, origin, text)``: pieces between matches and matches, added up."""
     p = _text(pattern)
     return f"""
-    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, place AS start, place + length(whole) AS stop, whole FROM (
-        SELECT doc_id, whole, part, (sum(length(gap) + coalesce(length(whole), 0)) OVER (PARTITION BY doc_id ORDER BY i)
+    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, origin + place AS start, origin + place + length(whole) AS stop, whole FROM (
+        SELECT doc_id, origin, whole, part, (sum(length(gap) + coalesce(length(whole), 0)) OVER (PARTITION BY doc_id, origin ORDER BY i)
             - coalesce(length(whole), 0))::BIGINT AS place
-        FROM (SELECT doc_id, unnest(range(1, len(gaps) + 1)) AS i, unnest(gaps) AS gap, unnest(wholes) AS whole, unnest(parts) AS part
-              FROM (SELECT doc_id, regexp_split_to_array(text, {p}) AS gaps, list_resize(regexp_extract_all(text, {p}), len(gaps), NULL) AS wholes,
-                        list_resize(regexp_extract_all(text, {p}, {group}), len(gaps), NULL) AS parts FROM docs))
+        FROM (SELECT doc_id, origin, unnest(range(1, len(gaps) + 1)) AS i, unnest(gaps) AS gap, unnest(wholes) AS whole, unnest(parts) AS part
+              FROM (SELECT doc_id, origin, regexp_split_to_array(text, {p}) AS gaps, list_resize(regexp_extract_all(text, {p}), len(gaps), NULL) AS wholes,
+                        list_resize(regexp_extract_all(text, {p}, {group}), len(gaps), NULL) AS parts FROM {texts}))
     ) WHERE whole IS NOT NULL AND length(part) >= {least}"""
 
 
+#: The allow-list as one pattern. The engine here needs no possessive groups.
+_ALLOWED = _text("|".join(f"(?:{a})" for a in ALLOW).replace("}+", "}"))
+_MUST = {
+    "entropy_hex": ["[0-9][A-F]|[A-F][0-9]"],
+    "entropy_base64": ["[a-z]", "[A-Z]", "[0-9]"],
+    "entropy_base36": ["[a-z]", "[0-9]"],
+    "entropy_base32": ["[A-Z]", "[0-9]"],
+    "entropy_letters": ["[a-z]", "[A-Z]"],
+    "entropy_lower": ["[a-z]"],
+    "entropy_upper": ["[A-Z]"],
+}
+
+
 def _entropy_sql(rank: int, c) -> str:
-    allowed = "".join(f" AND NOT regexp_matches(whole, {_text(a)})" for a in ALLOW)
-    must = {
-        "entropy_hex": "regexp_matches(whole, '[0-9][A-F]|[A-F][0-9]')",
-        "entropy_base64": "regexp_matches(whole, '[a-z]') AND regexp_matches(whole, '[A-Z]') AND regexp_matches(whole, '[0-9]')",
-    }[c.kind]
+    must = " AND ".join(f"regexp_matches(whole, {_text(m)})" for m in _MUST[c.kind])
     return f"""
-    SELECT doc_id, kind, rank, start, stop, whole FROM ({_spans_sql(c.kind, rank, f"[{c.characters}]{{{c.width},}}", 0, c.width)})
-    WHERE {must}{allowed} AND list_max(list_transform(range(1, length(whole) - {c.width} + 2),
-        lambda i: list_entropy(string_split(substr(whole, i, {c.width}), '')))) >= {c.bits}"""
+    SELECT s.* FROM ({_spans_sql(c.kind, rank, f"[{c.characters}]{{{c.width},}}", 0, c.width, "pieces")}) s
+    WHERE {must} AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = s.doc_id AND b.start <= s.start AND b.stop >= s.stop)
+        AND list_max(list_transform(range(1, length(whole) - {c.width} + 2), lambda i: list_entropy(string_split(substr(whole, i, {c.width}), '')))) >= {c.bits}"""
 
 
 _BASE = [("assign", ASSIGN, 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16)]
+_CLASSES = list(enumerate(ENTROPY + NARROW, len(_BASE)))
 OP1 = f"""
-WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+WITH docs AS (SELECT doc_id, 0 AS origin, coalesce(text, '') AS text FROM documents),
 base AS ({" UNION ALL ".join(_spans_sql(k, r, p, g, n) for r, (k, p, g, n) in enumerate(_BASE))}),
-extra AS ({" UNION ALL ".join(_entropy_sql(len(_BASE) + i, c) for i, c in enumerate(ENTROPY))}),
+runs AS ({_spans_sql("run", 0, "[A-Za-z0-9+/_-]{16,}", 0, 0)}),
+parts AS (SELECT doc_id, start, unnest(range(1, len(gaps) + 1)) AS i, unnest(gaps) AS gap, unnest(cuts) AS cut FROM (
+    SELECT doc_id, start, regexp_split_to_array(whole, {_ALLOWED}) AS gaps, list_resize(regexp_extract_all(whole, {_ALLOWED}), len(gaps), NULL) AS cuts FROM runs)),
+pieces AS (SELECT doc_id, (start + sum(length(gap) + coalesce(length(cut), 0)) OVER (PARTITION BY doc_id, start ORDER BY i)
+    - length(gap) - coalesce(length(cut), 0))::BIGINT AS origin, gap AS text FROM parts WHERE gap <> '' OR cut <> ''),
+extra AS ({" UNION ALL ".join(_entropy_sql(r, c) for r, c in _CLASSES)}),
 spans AS (SELECT * FROM base UNION ALL
-    SELECT * FROM extra e WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = e.doc_id AND b.start <= e.start AND b.stop >= e.stop))
+    SELECT * FROM extra e WHERE kind NOT IN ({", ".join(_text(c.kind) for c in NARROW)}) OR NOT EXISTS (SELECT 1 FROM extra k WHERE k.doc_id = e.doc_id AND k.start <= e.start AND k.stop >= e.stop
+        AND (length(k.whole) > length(e.whole) OR k.rank < e.rank)))
 SELECT d.doc_id, coalesce(count_if(kind = 'assign'), 0)::BIGINT AS n_assign, coalesce(count_if(kind = 'access'), 0)::BIGINT AS n_access, coalesce(count_if(kind = 'hex'), 0)::BIGINT AS n_hex,
     sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < {len(_BASE)}), '')) AS base_sha256,
     coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank), '') AS spans

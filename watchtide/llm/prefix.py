@@ -39,3 +39,16 @@ def running_total(df: DataFrame, group: str, key: str, ties: list[str], value: s
         .withColumn(name, F.col("_offset") + F.coalesce(F.sum(value).over(earlier), F.lit(0)))
         .drop("_bucket", "_offset")
     )
+
+
+def with_rows(df: DataFrame, name: str) -> DataFrame:
+    """``(_all, _row)``: the rows of ``df`` as structs with a number each, written once so that the numbers stay."""
+    return stored(df.select(F.struct("*").alias("_all"), F.monotonically_increasing_id().alias("_row")), name)
+
+
+def attached(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``with_rows`` that ``found`` has numbers of, with its columns.
+
+    Wide rows only pass by: the narrow side is hashed, so they are neither sorted nor held.
+    """
+    return rows.join(found.hint("shuffle_hash"), "_row")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from watchtide.llm.prefix import KEY_BITS, hash_key, running_total
+from watchtide.llm.prefix import KEY_BITS, attached, hash_key, running_total, with_rows
 
 
 @dataclass(frozen=True)
@@ -104,15 +104,26 @@ def with_shards(docs: DataFrame, tree: tuple[Leaf, ...], bigger: tuple[Leaf, ...
 def with_slots(sharded: DataFrame, id: str = "doc_id") -> DataFrame:
     """Rows of ``with_shards`` with ``slot``: their gapless number in the shard, from 0, in hash order.
 
-    Ties of the hash go by id, size and checksum. An empty table gives no rows.
+    Ties of the hash go by id, size and checksum. Only these columns are sorted; where there are others, such as texts,
+    the slots are joined to them. An empty table gives no rows.
     """
-    rows = sharded.drop("slot")
-    keyed = rows.select(
-        F.struct("*").alias("_row"),
-        *[rows[c].alias(f"_{c}") for c in ("shard", "size", "text_crc32")],
-        rows[id].alias("_id"),
-        hash_key(rows[id]).alias("_key"),
-        F.lit(1).cast("bigint").alias("_one"),
+    columns = [c for c in sharded.columns if c != "slot"]
+    needed = {"size", "text_crc32", "law", "shard", "grown_shard", id}
+    if set(columns) <= needed:
+        return _numbered(sharded.select(F.struct(*columns).alias("_all")), id).select("_all.*", "slot")
+    rows = with_rows(sharded.select(*columns), "sharded")
+    keys = rows.select(F.struct(*[F.col("_all")[c].alias(c) for c in ("size", "text_crc32", "shard", id)]).alias("_all"), "_row")
+    return attached(rows, _numbered(keys, id).select("_row", "slot")).select("_all.*", "slot")
+
+
+def _numbered(rows: DataFrame, id: str) -> DataFrame:
+    """``rows`` of narrow structs ``_all`` with ``slot``."""
+    keyed = rows.withColumns(
+        {
+            **{f"_{c}": F.col("_all")[c] for c in ("shard", "size", "text_crc32")},
+            "_id": F.col("_all")[id],
+            "_key": hash_key(F.col("_all")[id]),
+            "_one": F.lit(1).cast("bigint"),
+        }
     )
-    numbered = running_total(keyed, "_shard", "_key", ["_id", "_size", "_text_crc32"], "_one", "slot", rows.select("shard").count())
-    return numbered.select("_row.*", "slot")
+    return running_total(keyed, "_shard", "_key", ["_id", "_size", "_text_crc32"], "_one", "slot", rows.count())

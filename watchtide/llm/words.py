@@ -22,8 +22,8 @@ _CODES[ord("A") : ord("Z") + 1] = _CODES[ord("a") : ord("z") + 1]
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the bytes of the Arrow batches sent to Python, so that long texts make small batches."""
-    if int(spark.conf.get(_BATCH_BYTES).rstrip("b")) > 1 << 23:
-        spark.conf.set(_BATCH_BYTES, str(1 << 23))
+    if int(spark.conf.get(_BATCH_BYTES).rstrip("b")) > 1 << 22:
+        spark.conf.set(_BATCH_BYTES, str(1 << 22))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
