@@ -13,9 +13,12 @@ from conftest import AS_OF, envelope, table
 from watchtide.operators.newest import newest_per_key
 from watchtide.sources.exports import stream_findings, unwrap_events
 from watchtide.sources.table import FINDINGS, findings, to_findings_table, write_findings
+from watchtide.storage import remove_folder
 from watchtide.streaming import monitors
+from watchtide.streaming.commits import CommitLog
 from watchtide.streaming.ingest import checked_events, drop_redeliveries, start_ingest, write_micro_batch
 from watchtide.streaming.latest import LatestStore, start_latest
+from watchtide.streaming.unique import UniqueStore, start_unique
 
 
 @pytest.fixture
@@ -86,25 +89,144 @@ def test_redeliveries_are_dropped_once(spark, finding, folders):
     assert sorted(found) == sorted({(r["id"], r["updatedAt"].replace("T", " ").rstrip("Z")) for r in rows})
 
 
+def test_unique_store_keeps_late_copies_and_drops_every_redelivery(spark, finding, folders):
+    rows = copies(finding, 40, 2)
+    # One far-off time moves no watermark: what comes after it, however old, is kept.
+    far = {**finding, "id": "far", "updatedAt": "2031-01-01T00:00:00Z", "arn": "far"}
+    untimed = {**finding, "id": "none", "arn": "none"}
+    untimed.pop("updatedAt")
+    store = UniqueStore(folders("unique"))
+    assert store.read(spark).count() == 0
+    for name, documents in (("one", [far, *rows[:25]]), ("two", [*rows, untimed, far, untimed]), ("three", [*rows, untimed])):
+        drop_file(folders, name, *documents)
+        lines = stream_findings(spark, folders("in"), glob="*.jsonl", max_files=1)
+        start_unique(to_findings_table(unwrap_events(lines)), store, folders("cp")).awaitTermination()
+    expected = sorted({(r["id"], r["updatedAt"].replace("T", " ").rstrip("Z")) for r in [*rows, far]})
+    found = store.read(spark).select("Id", F.col("TimeGenerated").cast("string"), "Arn").collect()
+    assert sorted((r.Id, r[1]) for r in found if r[1]) == expected
+    assert [r.Arn for r in found if not r[1]] == ["none"]
+    assert store.read(spark).columns == FINDINGS.names
+    # A batch that is committed is left alone; one that was cut off before its commit is written anew.
+    store.add(table(spark, *rows), 0)
+    assert store.read(spark).count() == len(expected) + 1
+    remove_folder(spark, f"{store.log.path}/{2:012d}.json")
+    store.add(table(spark, *rows, untimed), 2)
+    assert store.read(spark).count() == len(expected) + 1
+
+
+def test_unique_store_reads_the_days_of_the_batch_only(spark, finding, folders, monkeypatch):
+    asked = []
+    known = UniqueStore._known
+    monkeypatch.setattr(UniqueStore, "_known", lambda self, spark, days: asked.append(sorted(days)) or known(self, spark, days))
+    store = UniqueStore(folders("unique"))
+    for n, day in enumerate(("01", "02", "02")):
+        store.add(table(spark, {**finding, "updatedAt": f"2025-03-{day}T10:00:00Z"}), n)
+    assert asked == [["2025-03-01"], ["2025-03-02"], ["2025-03-02"]] and store.read(spark).count() == 2
+
+
+def newest(spark, rows):
+    return {r.Id: r.Arn for r in newest_per_key(table(spark, *rows)).collect()}
+
+
 def test_latest_store_equals_the_batch_view(spark, finding, folders):
     rows = copies(finding, 120, 3)
-    store = LatestStore(folders("latest"), compact_every=3)
-    assert store.read(spark).count() == 0
-    expected = {r.Id: r.Arn for r in newest_per_key(table(spark, *rows)).collect()}
+    store = LatestStore(folders("latest"), compact_every=3, buckets=5)
+    assert store.read(spark).count() == 0 and store.versions(spark) == []
     for i in range(8):
         drop_file(folders, f"part{i}", *rows[i * 15 : (i + 1) * 15])
     lines = stream_findings(spark, folders("in"), glob="*.jsonl", max_files=1)
     stream = to_findings_table(unwrap_events(lines))
     start_latest(stream, store, folders("cp")).awaitTermination()
-    assert {r.Id: r.Arn for r in store.read(spark).collect()} == expected
-    assert len(store.snapshots(spark)) >= 2
-    # A retried micro-batch changes nothing, and neither does removing superseded versions.
-    store.merge(table(spark, *rows[105:]), 7)
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == newest(spark, rows)
+    assert store.read(spark).columns == FINDINGS.names
     store.vacuum(spark, keep=1)
-    assert len(store.snapshots(spark)) == 1
-    assert {r.Id: r.Arn for r in store.read(spark).collect()} == expected
-    with pytest.raises(ValueError, match="positive"):
-        LatestStore("x", 0)
+    assert store.versions(spark) == [7]
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == newest(spark, rows)
+    for bad in ({"compact_every": 0}, {"buckets": 0}):
+        with pytest.raises(ValueError, match="positive"):
+            LatestStore("x", **bad)
+
+
+def test_latest_store_takes_a_batch_once(spark, finding, folders):
+    rows = copies(finding, 60, 5)
+    store = LatestStore(folders("latest"), compact_every=2, buckets=3)
+    for n in range(4):
+        batch = table(spark, *rows[n * 15 : n * 15 + 15])
+        store.merge(batch, n)
+        store.merge(batch, n)
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == newest(spark, rows)
+    with pytest.raises(ValueError, match="other rows"):
+        store.merge(table(spark, *rows[:3]), 3)
+    store.merge(table(spark), 4)
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == newest(spark, rows)
+    # A batch that was cut off before its manifest is written anew.
+    remove_folder(spark, f"{store.path}/manifest/{4:012d}.json")
+    store.merge(table(spark, *rows[15:30]), 4)
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == newest(spark, rows)
+
+
+def test_latest_store_rewrites_and_shuffles_open_buckets_only(spark, finding, folders):
+    store = LatestStore(folders("latest"), compact_every=2, buckets=8)
+    rows = [{**finding, "id": f"n{i}", "arn": f"a{i}"} for i in range(60)]
+    store.merge(table(spark, *rows), 0)
+    store.merge(table(spark, *rows), 1)
+    state = store.manifest(spark)["buckets"]
+    assert len(state) == 8 and all(s["base"] and not s["open"] for s in state.values())
+    plan = lambda: store.read(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan() and store.read(spark).count() == 60
+    later = {**rows[0], "updatedAt": "2025-04-01T00:00:00Z", "arn": "later"}
+    store.merge(table(spark, later), 2)
+    after = store.manifest(spark)["buckets"]
+    changed = [b for b in state if state[b] != after[b]]
+    assert len(changed) == 1 and "Exchange" in plan()
+    store.merge(table(spark, later), 3)
+    compacted = store.manifest(spark)["buckets"]
+    assert [b for b in state if state[b] != compacted[b]] == changed and not compacted[changed[0]]["open"]
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == {f"n{i}": f"a{i}" for i in range(60)} | {"n0": "later"}
+
+
+def test_retried_ingest_batches_alert_and_count_once(spark, finding, folders):
+    rows = copies(finding, 40, 6)
+    for r in rows[::4]:
+        r["severity"] = 8.5
+    drop_file(folders, "one", *rows[:20])
+    lines = stream_findings(spark, folders("in"), glob="*.jsonl", max_files=1)
+
+    def run():
+        start_ingest(lines, folders("t"), folders("q"), folders("cp")).awaitTermination()
+        monitors.start_urgent(spark, folders("t"), folders("alerts"), folders("cp1")).awaitTermination()
+        monitors.start_hourly(spark, folders("t"), folders("counts"), folders("cp2")).awaitTermination()
+
+    run()
+    # The files of batch 0 are replaced by others of the same rows, as a retry does, and batch 1 follows.
+    write_micro_batch(checked_events(stream_free(spark, folders, "one")), 0, folders("t"), folders("q"))
+    drop_file(folders, "two", *rows[20:], "{cut")
+    run()
+    run()
+    log = CommitLog(folders("t"))
+    assert log.batches(spark) == [0, 1] and all(log.folders(spark, n) for n in (0, 1))
+    alerts = spark.read.option("recursiveFileLookup", "true").parquet(folders("alerts"))
+    stored = table(spark, *rows)
+    expected = monitors.urgent_stream(stored)
+    assert sorted(map(tuple, alerts.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    totals = monitors.hourly_totals(spark, folders("counts"))
+    whole = monitors.partial_counts(stored)
+    assert sorted(map(tuple, totals.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert totals.agg(F.sum("Findings")).first()[0] == 40
+
+
+def test_late_hours_and_missing_times_are_counted(spark, finding, folders):
+    assert monitors.hourly_totals(spark, folders("counts")).collect() == []
+    times = ["2031-01-01T00:00:00Z", "2025-03-18T05:10:00Z", "2019-02-03T04:59:59Z", "2025-03-18T05:50:00Z"]
+    for n, time_ in enumerate(times):
+        drop_file(folders, f"part{n}", {**finding, "id": f"f{n}", "createdAt": time_})
+        lines = stream_findings(spark, folders("in"), glob="*.jsonl", max_files=1)
+        start_ingest(lines, folders("t"), folders("q"), folders("cp")).awaitTermination()
+        monitors.start_hourly(spark, folders("t"), folders("counts"), folders("cp2")).awaitTermination()
+    found = {str(r.Hour): r.Findings for r in monitors.hourly_totals(spark, folders("counts")).collect()}
+    assert found == {"2031-01-01 00:00:00": 1, "2025-03-18 05:00:00": 2, "2019-02-03 04:00:00": 1}
+    bare = table(spark, finding).withColumns({"TimeCreated": F.lit(None).cast("timestamp"), "TimeGenerated": F.lit(None).cast("timestamp")})
+    assert [(r.Hour, r.Findings) for r in monitors.partial_counts(bare).collect()] == [(None, 1)]
 
 
 def test_urgent_and_hourly_streams(spark, finding, folders):

@@ -13,11 +13,11 @@ def newest_first(df: DataFrame, time: str = "TimeGenerated", ties=TIE_BREAK) ->
     return [F.desc_nulls_last(c) for c in (time, *ties) if c in df.columns]
 
 
-def newest_per_key(df: DataFrame, key: str = "Id", time: str = "TimeGenerated", ties=TIE_BREAK) -> DataFrame:
+def newest_per_key(df: DataFrame, key: str | list[str] = "Id", time: str = "TimeGenerated", ties=TIE_BREAK) -> DataFrame:
     """One row per key: the one with the latest time.
 
     Ranking by ``row_number() = 1`` lets Spark drop all but one row per key inside every task before the shuffle, so
     a key that holds a third of the table still sends at most one row per task.
     """
-    order = Window.partitionBy(key).orderBy(*newest_first(df, time, ties))
+    order = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*newest_first(df, time, ties))
     return df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1).drop("_rank")

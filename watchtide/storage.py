@@ -53,3 +53,38 @@ def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, sorted; nothing where there is no such folder."""
+    fs, root = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern matches, sorted."""
+    fs, target = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Makes a small file that is either whole or not there, in place of an older one of that name."""
+    fs, target = _file_system(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(aside, target):
+        fs.delete(target, False)
+        if not fs.rename(aside, target):
+            raise OSError(f"cannot write {path}")
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
