@@ -281,6 +281,7 @@ SESSIONS = f"""sessions AS (SELECT *, CASE WHEN SrcIpAddr = '' AND DstIpAddr = '
   WHEN NetworkProtocol = '' THEN 'Missing protocol' WHEN EventStartTime IS NULL THEN 'Missing timestamp'
   ELSE 'Compliant' END AS ASIMCompliance FROM (SELECT {columns(
     TimeGenerated="TimeGenerated",
+    RawJson="RawJson",
     EventType="'NetworkSession'",
     EventSchemaVersion="'0.2.7'",
     EventVendor="'AWS'",

@@ -16,12 +16,13 @@ from watchtide.functions.text import contains, first_text, has, starts_with
 from watchtide.functions.variant import canonical_json, nullable_text, part
 from watchtide.operators import base as base_view
 from watchtide.operators import database, identity, kubernetes, malware, network, parity, quality, sessions, storage
+from watchtide.operators.geo import GeoRanges
 from watchtide.operators.newest import newest_per_key
 from watchtide.plans import hunting, reports
 from watchtide.settings import Settings, settings_table
 from watchtide.sources import batches, contracts, exports, table as tables
 from watchtide.storage import work_folder
-from watchtide.streaming import ingest, latest, monitors
+from watchtide.streaming import ingest, latest, monitors, unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -444,7 +445,7 @@ def _(spark, sf):
     return hunting.count_by(sessions_of(spark, sf), "ASIMCompliance")
 
 
-# Sent findings: two copies in three, some with another severity or region, some ids that never arrived.
+# Sent findings: every copy, some with another severity or region, some ids that never arrived.
 SENT = (
     "CASE WHEN h % 19 = 0 THEN Id || '-lost' ELSE Id END AS Id, AccountId, ActivityType AS Type, "
     "CASE WHEN h % 7 = 0 THEN 'elsewhere' ELSE Region END AS Region, "
@@ -457,7 +458,7 @@ DELIVERY, DELIVERY_SQL = datetime(2024, 1, 12), "TIMESTAMP '2024-01-12 00:00:00'
 
 
 def _sent(spark, sf) -> DataFrame:
-    mapped = S.attributes(spark, sf).filter("h % 3 <> 1").select(
+    mapped = S.attributes(spark, sf).select(
         "h",
         F.col("finding_id").alias("Id"),
         F.col("account_id").alias("AccountId"),
@@ -486,7 +487,7 @@ def _field(name: str, expected: str, actual: str) -> str:
 
 @check(
     "b12_parity",
-    f"WITH {O.TABLE}, sent AS (SELECT {SENT} FROM t WHERE h % 3 <> 1), "
+    f"WITH {O.TABLE}, sent AS (SELECT {SENT} FROM t), "
     "ns AS (SELECT * FROM sent QUALIFY ROW_NUMBER() OVER (PARTITION BY Id ORDER BY UpdatedAt DESC) = 1), "
     f"near AS (SELECT * FROM t WHERE TimeGenerated >= {DELIVERY_SQL} AND Id IN (SELECT Id FROM sent)), na AS ({O.newest(None, 'near')}), both_sides AS (SELECT COALESCE(ns.Id, na.Id) AS Id, ns.AccountId AS ea, "
     "na.AccountId AS aa, ns.Type AS et, na.ActivityType AS atp, ns.Region AS er, na.Region AS ar, "
@@ -502,16 +503,21 @@ def _field(name: str, expected: str, actual: str) -> str:
     ),
 )
 def _(spark, sf):
-    return parity.parity_mismatches(_sent(spark, sf), S.table(spark, sf), DELIVERY)
+    return parity.parity_mismatches(_sent(spark, sf), _with_unsent(S.table(spark, sf)), DELIVERY)
+
+
+def _with_unsent(table: DataFrame) -> DataFrame:
+    """The table and as many findings that were never sent, which parity passes over."""
+    return table.unionByName(table.withColumn("Id", F.concat("Id", F.lit("-unsent"))))
 
 
 @check(
     "b13_missing_ids",
-    f"WITH {O.TABLE}, sent AS (SELECT {SENT} FROM t WHERE h % 3 <> 1) SELECT DISTINCT Id FROM sent WHERE Id NOT IN "
+    f"WITH {O.TABLE}, sent AS (SELECT {SENT} FROM t) SELECT DISTINCT Id FROM sent WHERE Id NOT IN "
     f"(SELECT Id FROM t WHERE TimeGenerated >= {DELIVERY_SQL})",
 )
 def _(spark, sf):
-    return parity.missing_ids(_sent(spark, sf), S.table(spark, sf), DELIVERY)
+    return parity.missing_ids(_sent(spark, sf), _with_unsent(S.table(spark, sf)), DELIVERY)
 
 
 # ---- C: base view
@@ -621,22 +627,29 @@ def _(spark, sf):
 
 @check("d7_session_view", O.with_sessions("SELECT * FROM sessions WHERE ASIMCompliance = 'Compliant'"))
 def _(spark, sf):
-    return sessions_of(spark, sf).drop("RawJson")  # the text of the network view, which d1 compares
+    return sessions_of(spark, sf)
+
+
+EXTRA = (
+    "AwsAccountId", "AwsRegion", "VpcId", "SubnetId", "InstanceId", "InstanceType", "SecurityGroupIds", "NetworkInterfaceId",
+    "RemoteOrganization", "RemoteIsp", "RemoteAsn", "Platform", "ImageId", "LaunchTime",
+)
 
 
 @check(
     "d7_additional_fields",
     O.with_sessions(
-        "SELECT n.FindingId, n.VpcId, n.SecurityGroupIds, n.RemoteAsn, n.FindingId AS GuardDutyFindingId FROM network n "
-        "WHERE RemoteIp <> '' AND Protocol <> ''"
+        "SELECT n.FindingId, n.FindingId AS GuardDutyFindingId, "
+        + ", ".join(f"n.{name}" if name == "LaunchTime" else f"CAST(n.{name} AS VARCHAR) AS {name}" for name in EXTRA)
+        + " FROM network n WHERE RemoteIp <> '' AND Protocol <> ''"
     ),
 )
 def _(spark, sf):
+    """Every member of the bag."""
     bag = F.col("AdditionalFields")
-    names = ("VpcId", "SecurityGroupIds", "RemoteAsn", "GuardDutyFindingId")
     return sessions_of(spark, sf).select(
-        F.col("NetworkSessionId").alias("FindingId"), *[F.get_json_object(bag, "$." + n).alias(n) for n in names]
-    )
+        F.col("NetworkSessionId").alias("FindingId"), *[F.get_json_object(bag, "$." + n).alias(n) for n in ("GuardDutyFindingId", *EXTRA)]
+    ).withColumn("LaunchTime", F.col("LaunchTime").cast("timestamp"))
 
 
 @check("d1_shared_base", O.with_network("SELECT FindingId, ThreatCategory, NetworkRiskScore, SecurityGroupIds FROM network"))
@@ -741,21 +754,31 @@ def _(spark, sf):
     return reports.ingestion_pattern(S.table(spark, sf, "7d"), AS_OF)
 
 
-@check(
-    "e7_data_quality_rates",
-    O.with_base(
+def _rates(lost: str) -> str:
+    return (
         "SELECT CASE WHEN r < 90 THEN 'JSON parsing issues - check raw data format' WHEN s < 80 THEN "
         "'Missing required fields - possible schema changes' ELSE 'Good data quality' END AS QualityAssessment, "
-        "n AS TotalRecords, r AS JsonParseRate, s AS DataQualityScore FROM (SELECT COUNT(*) AS n, "
-        "CAST(COUNT(*) * 100 // NULLIF(COUNT(*), 0) AS BIGINT) AS r, CAST((COUNT(*) FILTER (Id <> '') + COUNT(*) + "
-        "COUNT(*) FILTER (AccountId <> '')) * 100 // NULLIF(COUNT(*) * 3, 0) AS BIGINT) AS s FROM b) AS x",
-        "1",
-    ),
-)
+        f"n AS TotalRecords, r AS JsonParseRate, s AS DataQualityScore FROM (SELECT COUNT(*) AS n, "
+        f"CAST(COUNT(*) * 100 // NULLIF(COUNT(*) + {lost}, 0) AS BIGINT) AS r, CAST((COUNT(*) FILTER (Id <> '') + COUNT(*) + "
+        "COUNT(*) FILTER (AccountId <> '')) * 100 // NULLIF(COUNT(*) * 3, 0) AS BIGINT) AS s FROM b) AS x"
+    )
+
+
+@check("e7_data_quality_rates", O.with_base(_rates("0"), "1"))
 def _(spark, sf):
     return reports.data_quality_rates(S.base(spark, sf, "1d"))
 
 
+@check(
+    "e7_parse_rates",
+    O.with_base(_rates("(SELECT COUNT(*) FILTER (contract_error = 'line is not valid JSON') FROM checked)"), "30", more=f",\n{O.MIXED}"),
+)
+def _(spark, sf):
+    """The rates of the whole month, with the lines of its delivery that are no JSON."""
+    quarantine = spark.read.parquet(_committed(spark, sf)[1])
+    return reports.data_quality_rates(S.base(spark, sf), quarantine.filter("contract_error = 'line is not valid JSON'"))
+
+
 PAIRS = (
     "SELECT AccountId AS AwsAccountId, Region AS AwsRegion, COUNT(*) AS RecordCount, MIN(EventTime) AS FirstSeen, "
     "MAX(EventTime) AS LastSeen FROM b GROUP BY 1, 2 ORDER BY RecordCount DESC, 1, 2 LIMIT 20"
@@ -1135,6 +1158,16 @@ def _(spark, sf):
     return hunting.action_documents(S.base(spark, sf), "NETWORK_CONNECTION", path)
 
 
+@check(
+    "f22_service_documents",
+    O.with_base(f"SELECT Id AS FindingId, ActivityType AS FindingType, {O.SERVICE_TEXT} AS Document FROM b WHERE atype = 'AWS_API_CALL'"),
+)
+def _(spark, sf):
+    """The documents that API calls are read from, whole."""
+    documents = hunting.action_documents(S.base(spark, sf), "AWS_API_CALL", "")
+    return documents.select("FindingId", "FindingType", F.col("Action").alias("Document"))
+
+
 @check(
     "f22_api_documents",
     O.with_base(
@@ -1248,6 +1281,21 @@ def _(spark, sf):
     return S.geo(spark, sf).enrich(bare, "RemoteIp").select(*PLACE)
 
 
+@check(
+    "j4_geo_ipv6",
+    "SELECT c_custkey AS FindingId, COALESCE(n_name, '') AS EnrichedCountry, CASE WHEN n_name IS NULL THEN '' WHEN c_custkey * 7919 % 65536 >= 32768 "
+    "THEN 'upper' ELSE 'whole' END AS EnrichedState, '' AS EnrichedCity, CAST(n_nationkey AS DOUBLE) AS EnrichedLatitude, "
+    "CAST(NULL AS DOUBLE) AS EnrichedLongitude FROM customer LEFT JOIN nation ON c_custkey % 40 = n_nationkey",
+)
+def _(spark, sf):
+    """IPv6 addresses of customers in networks of nations, from ranges that were written before."""
+    stored = S._kept(spark, sf, "geo", lambda path: GeoRanges(S.geo_ranges(spark, sf), S.geo_networks(spark, sf)).save(path))
+    group, host = (F.lower(F.hex(F.expr(x))) for x in ("c_custkey % 40", "c_custkey * 7919 % 65536"))
+    address = F.concat(F.lit("2001:DB8:"), group, F.lit(":"), host, F.lit("::1"))
+    callers = S.given(spark, sf, "customer").select(F.col("c_custkey").alias("FindingId"), address.alias("address"))
+    return GeoRanges.load(spark, stored).enrich(callers, "address").drop("address")
+
+
 @check(
     "n2_n6_text_tests",
     O.with_table(
@@ -1308,6 +1356,44 @@ def _(spark, sf):
     )
 
 
+def _committed(spark, sf) -> tuple[str, str]:
+    """Table and quarantine of the mixed export, ingested as a stream once per session and scale."""
+
+    def write(path):
+        lines = exports.stream_findings(spark, S.mixed_export(spark, sf), glob="*.txt.gz", max_files=1, partitions=8)
+        ingest.start_ingest(lines, f"{path}/table", f"{path}/quarantine", work_folder(spark, "checkpoint")).awaitTermination()
+
+    path = S._kept(spark, sf, "committed", write)
+    return f"{path}/table", f"{path}/quarantine"
+
+
+WHOLE = (
+    'Id, Arn, AccountId, ActivityType, Description, PartitionName AS "Partition", Region, SchemaVersion, SeverityInt AS Severity, '
+    f"TimeCreated, TimeGenerated, Title, {O.RESOURCE_TEXT} AS Resource, {O.SERVICE_TEXT} AS Service"
+)
+
+
+def whole(rows: DataFrame) -> DataFrame:
+    """All 14 columns, documents as text."""
+    return rows.withColumns({"Resource": F.to_json("ResourceDetails"), "Service": F.to_json("ServiceDetails")})
+
+
+@check("g1_ingested_rows", f"WITH {O.TABLE}, {O.MIXED} SELECT {WHOLE} FROM checked WHERE contract_error IS NULL")
+def _(spark, sf):
+    return whole(tables.findings(spark, _committed(spark, sf)[0]))
+
+
+@check("g2_unique_store", O.with_table(f"SELECT {WHOLE} FROM t"))
+def _(spark, sf):
+    """The export twice, file by file, so that times come in any order: every copy is kept once, however late."""
+    store = unique.UniqueStore(work_folder(spark, "unique"))
+    lines = exports.stream_findings(spark, S.finding_export(spark, sf), glob="*.txt.gz", max_files=4)
+    again = exports.stream_findings(spark, S.finding_export(spark, sf), glob="*.txt.gz", max_files=3)
+    copies = tables.to_findings_table(exports.unwrap_events(lines.unionByName(again)))
+    unique.start_unique(copies, store, work_folder(spark, "checkpoint")).awaitTermination()
+    return whole(store.read(spark))
+
+
 @check("g2_redelivery_stream", O.with_table("SELECT Id, TimeGenerated FROM t"))
 def _(spark, sf):
     """The export read twice as one stream: every copy is delivered twice and kept once."""
@@ -1328,27 +1414,24 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
-@check(
-    "g3_latest_stream",
-    f"WITH {O.TABLE} SELECT Id, Arn, TimeGenerated, SeverityInt AS Severity FROM ({O.newest(None)}) AS n",
-)
+@check("g3_latest_stream", f"WITH {O.TABLE} SELECT {WHOLE} FROM ({O.newest(None)}) AS n")
 def _(spark, sf):
-    store = latest.LatestStore(work_folder(spark, "latest"), compact_every=2)
+    store = latest.LatestStore(work_folder(spark, "latest"), compact_every=2, buckets=16)
     lines = exports.stream_findings(spark, S.finding_export(spark, sf), glob="*.txt.gz", max_files=3)
     copies = tables.to_findings_table(exports.unwrap_events(lines))
     latest.start_latest(copies, store, work_folder(spark, "checkpoint")).awaitTermination()
-    return store.read(spark).select("Id", "Arn", "TimeGenerated", "Severity")
+    return whole(store.read(spark))
 
 
-@check(
-    "g4_urgent_stream",
-    O.with_table(
-        "SELECT COALESCE(TimeCreated, TimeGenerated) AS EventTime, Id AS FindingId, ActivityType AS FindingType, "
-        f"CASE WHEN SeverityInt >= 9 THEN 'Critical' ELSE 'High' END AS SeverityLevel, {O.text('title')} AS Title, "
-        "AccountId AS AwsAccountId, Region AS AwsRegion FROM t WHERE SeverityInt BETWEEN 7 AND 10 AND SchemaVersion LIKE '2.%' "
-        f"AND {O.QUALITY.replace('sev > 0', 'SeverityInt > 0')} >= 60"
-    ),
-)
+URGENT = (
+    "SELECT COALESCE(TimeCreated, TimeGenerated) AS EventTime, Id AS FindingId, ActivityType AS FindingType, "
+    f"CASE WHEN SeverityInt >= 9 THEN 'Critical' ELSE 'High' END AS SeverityLevel, {O.text('title')} AS Title, "
+    "AccountId AS AwsAccountId, Region AS AwsRegion FROM {source} AND SeverityInt BETWEEN 7 AND 10 AND SchemaVersion LIKE '2.%' "
+    f"AND {O.QUALITY.replace('sev > 0', 'SeverityInt > 0')} >= 60"
+)
+
+
+@check("g4_urgent_stream", O.with_table(URGENT.replace("{source}", "t WHERE TRUE")))
 def _(spark, sf):
     out = work_folder(spark, "urgent")
     (
@@ -1363,6 +1446,26 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
+@check("g4_committed_alerts", f"WITH {O.TABLE}, {O.MIXED} " + URGENT.replace("{source}", "checked WHERE contract_error IS NULL"))
+def _(spark, sf):
+    """Alerts of an ingested table, by way of its commits."""
+    alerts = work_folder(spark, "alerts")
+    monitors.start_urgent(spark, _committed(spark, sf)[0], alerts, work_folder(spark, "checkpoint")).awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").parquet(alerts)
+
+
+@check(
+    "g5_all_hours",
+    f"WITH {O.TABLE}, {O.MIXED} SELECT date_trunc('hour', COALESCE(TimeCreated, TimeGenerated)) AS Hour, ActivityType AS FindingType, "
+    "COUNT(*) AS Findings FROM checked WHERE contract_error IS NULL GROUP BY 1, 2",
+)
+def _(spark, sf):
+    """Every row of every hour of an ingested table, in whatever order its files came."""
+    counts = work_folder(spark, "counts")
+    monitors.start_hourly(spark, _committed(spark, sf)[0], counts, work_folder(spark, "checkpoint")).awaitTermination()
+    return monitors.hourly_totals(spark, counts)
+
+
 @check(
     "g5_hourly_counts_stream",
     O.with_table(

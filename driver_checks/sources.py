@@ -149,6 +149,25 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.unionByName(narrow).unionByName(documentation)
 
 
+def geo_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPv6 networks named after nations: one /48 and its upper half per nation."""
+    nation = given(spark, sf_dir, "nation")
+    group = F.lower(F.hex("n_nationkey"))
+    parts = [(F.concat(F.lit("2001:db8:"), group, F.lit(end)), part) for end, part in (("::/48", "whole"), (":8000::/49", "upper"))]
+    made = [
+        nation.select(
+            network.alias("network"),
+            F.col("n_name").alias("country"),
+            F.lit(part).alias("state"),
+            F.lit(None).cast("string").alias("city"),
+            F.col("n_nationkey").cast("double").alias("latitude"),
+            F.lit(None).cast("double").alias("longitude"),
+        )
+        for network, part in parts
+    ]
+    return made[0].unionByName(made[1])
+
+
 def geo(spark: SparkSession, sf_dir: str) -> GeoRanges:
     return GeoRanges(geo_ranges(spark, sf_dir))
 

@@ -93,17 +93,17 @@ def test_delivery_contract(spark, finding):
         (changed(finding, unknown={"new": [1]}), None),
         (changed(finding, severity=0), None),
         (changed(finding, severity=10), None),
-        (changed(finding, arn=KeyError), "finding is missing required fields: arn"),
-        (changed(finding, arn=None, accountId=""), "finding is missing required fields: accountId, arn"),
-        (changed(finding, resource=None, updatedAt=KeyError), "finding is missing required fields: resource, updatedAt"),
+        (changed(finding, region=KeyError), "finding is missing required fields: region"),
+        (changed(finding, region=None, createdAt=""), "finding is missing required fields: createdAt, region"),
+        (changed(finding, type=None, updatedAt=KeyError), "finding is missing required fields: type, updatedAt"),
         (changed(finding, resource=""), "finding is missing required fields: resource"),
-        (changed(finding, resource=[]), "resource must be an object"),
+        (changed(finding, resource=["i-77"]), "resource must be an object"),
         (changed(finding, resource={}), None),
-        (changed(finding, severity="9.0"), "severity must be numeric"),
+        (changed(finding, severity="high"), "severity must be numeric"),
+        (changed(finding, severity={"score": 4}), "severity must be numeric"),
         (changed(finding, severity=True), "severity must be numeric"),
-        (changed(finding, severity=False), "severity must be numeric"),
-        (changed(finding, severity=10.1), "severity must be between 0 and 10"),
-        (changed(finding, severity=-0.1), "severity must be between 0 and 10"),
+        (changed(finding, severity=12), "severity must be between 0 and 10"),
+        (changed(finding, severity=-3.5), "severity must be between 0 and 10"),
     ]
     checked = contracts.check_findings(unwrapped(spark, *[changed(c, title=str(i)) for i, (c, _) in enumerate(cases)]))
     found = {
@@ -118,7 +118,7 @@ def test_delivery_contract(spark, finding):
 def test_strict_mode_fails_the_job(spark, finding):
     good = contracts.check_findings(unwrapped(spark, finding))
     assert contracts.require_valid(good).count() == 1
-    bad = contracts.check_findings(unwrapped(spark, finding, changed(finding, severity="9.0")))
+    bad = contracts.check_findings(unwrapped(spark, finding, changed(finding, severity="7")))
     with pytest.raises(PySparkException, match="severity must be numeric"):
         contracts.require_valid(bad).collect()
 

@@ -87,3 +87,41 @@ def test_parity(spark):
     assert parity_mismatches(sent.filter("Id = 'a'"), stored.filter("Id = 'a'")).count() == 0
     assert parity_mismatches(sent.filter("Id = 'b'").drop("UpdatedAt"), stored.filter("Id = 'b'")).count() == 2
     assert [r.Id for r in missing_ids(sent, stored).collect()] == ["c"]
+
+
+def test_ipv6_networks_and_stored_pieces(spark, tmp_path):
+    import ipaddress
+    import random
+
+    from watchtide.operators.geo import GEO_SCHEMA, NETWORK_SCHEMA, GeoRanges, ipv6_bits
+
+    draw = random.Random(4)
+    names = ["2001:db8::/32", "2001:db8:5::/48", "2001:db8:5:8000::/49", "fe80::/10", "::/0", "2001:db8:5::77/128", "::ffff:0:0/96", "bad/12", "2001::/900", "1.2.3.4/8"]
+    nets = [(n, f"c{i}", None, f"town {i}", float(i), None) for i, n in enumerate(names)]
+    given = [str(ipaddress.IPv6Address(draw.getrandbits(128))) for _ in range(40)]
+    given += [str(ipaddress.IPv6Address((0x20010DB80005 << 80) | draw.getrandbits(80))) for _ in range(40)]
+    given += ["2001:db8:5::77", "2001:DB8:5:0:0:0:0:77", "::", "::1", "fe80::1", "::ffff:1.2.3.4", "1::", "1:2:3:4:5:6:7:8"]
+    odd = [None, "", "1:2", ":::", "1::2::3", "12345::", "1:2:3:4:5:6:7:8:9", "::1.2.3.400", "g::1", "9.9.9.9", "1:2:3:4:5:6:7::8"]
+    rows = spark.createDataFrame([(i, a) for i, a in enumerate(given + odd)], "FindingId int, ip string")
+    for r in rows.select("ip", ipv6_bits(F.col("ip")).alias("b")).collect():
+        try:
+            expected = format(int(ipaddress.IPv6Address(r.ip)), "0128b")
+        except ValueError:
+            expected = None
+        assert r.b == (None if r.ip == "1:2:3:4:5:6:7::8" else expected) or r.b == expected
+    geo = GeoRanges(spark.createDataFrame([(9 << 24, (10 << 24) - 1, "nine", "", "", 9.0, 9.0)], GEO_SCHEMA), spark.createDataFrame(nets, NETWORK_SCHEMA))
+    geo.save(str(tmp_path / "geo"))
+    known = [(ipaddress.IPv6Network(n[0], strict=False), n[1]) for n in nets[:7]]
+    for ranges in (geo, GeoRanges.load(spark, str(tmp_path / "geo"))):
+        found = {r.FindingId: r for r in ranges.enrich(rows, "ip").collect()}
+        assert len(found) == len(given) + len(odd)
+        for i, a in enumerate(given):
+            expected = max(((n.prefixlen, c) for n, c in known if ipaddress.IPv6Address(a) in n), default=(0, ""))[1]
+            assert found[i].EnrichedCountry == expected and found[i].EnrichedLatitude == float(expected[1:])
+        assert found[len(given) + odd.index("9.9.9.9")].EnrichedCountry == "nine"
+        assert [found[len(given) + i].EnrichedCountry for i in range(9)] == [""] * 9
+    plan = GeoRanges.load(spark, str(tmp_path / "geo")).pieces._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    bare = GeoRanges(spark.createDataFrame([], GEO_SCHEMA))
+    bare.save(str(tmp_path / "none"))
+    assert {r.EnrichedCountry for r in GeoRanges.load(spark, str(tmp_path / "none")).enrich(rows, "ip").collect()} == {""}

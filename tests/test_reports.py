@@ -130,3 +130,15 @@ def test_hunting_queries(spark, many):
     assert [r.DestinationIP for r in risky] == ["198.18.7.21"]
     across = hunting.across_sources(network_sessions(network), log, AS_OF, "1d")
     assert {r.Source for r in across.collect()} == {"GuardDuty", "Firewall"}
+
+
+def test_parse_rate_counts_the_lines_that_are_no_json(spark, many):
+    from conftest import lines
+
+    rows = base(spark, *many)
+    count = rows.count()
+    for lost in (0, count // 10, count):
+        aside = lines(spark, *["{cut"] * lost) if lost else rows.limit(0)
+        found = reports.data_quality_rates(rows, aside).first()
+        assert (found.TotalRecords, found.JsonParseRate) == (count, 100 * count // (count + lost))
+        assert found.QualityAssessment.startswith("JSON parsing issues" if found.JsonParseRate < 90 else "Good")
