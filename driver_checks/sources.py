@@ -73,6 +73,11 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return _STORED[key]
 
 
+def _files(lines: DataFrame, least: int) -> DataFrame:
+    """Lines for at least so many gzip files, of 50,000 lines each where there are more: a gzip file is one task."""
+    return lines.select("raw").repartition(max(least, lines.count() // 50_000))
+
+
 def finding_export(spark: SparkSession, sf_dir: str) -> str:
     """Folder of gzip JSON Lines with every copy as a bare finding."""
     lines = finding_lines(spark, sf_dir)
@@ -80,7 +85,7 @@ def finding_export(spark: SparkSession, sf_dir: str) -> str:
         spark,
         sf_dir,
         "finding-export",
-        lambda path: lines.select("raw").repartition(8).write.option("compression", "gzip").text(path),
+        lambda path: _files(lines, 8).write.option("compression", "gzip").text(path),
     )
 
 
@@ -91,7 +96,7 @@ def mixed_export(spark: SparkSession, sf_dir: str) -> str:
         spark,
         sf_dir,
         "mixed-export",
-        lambda path: lines.select("raw").repartition(4).write.option("compression", "gzip").text(path),
+        lambda path: _files(lines, 4).write.option("compression", "gzip").text(path),
     )
 
 
