@@ -139,7 +139,7 @@ def _member(name: str, value: str, quoted: bool = True) -> str:
     return f"'\"{name}\":' || COALESCE(CASE WHEN {value} IS NOT NULL THEN {shown} END, 'null')"
 
 
-def _time(value: str) -> str:
+def json_time(value: str) -> str:
     return f"'\"' || strftime({value}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z\"'"
 
 
@@ -148,7 +148,7 @@ RAW_JSON = "'{' || " + " || ',' || ".join(
     [
         _member("accountId", "AccountId"),
         _member("arn", "Arn"),
-        _member("createdAt", _time("TimeCreated"), False),
+        _member("createdAt", json_time("TimeCreated"), False),
         _member("description", "Description"),
         _member("id", "Id"),
         _member("partition", "PartitionName"),
@@ -159,7 +159,7 @@ RAW_JSON = "'{' || " + " || ',' || ".join(
         _member("severity", "CAST(CAST(SeverityInt AS DOUBLE) AS VARCHAR)", False),
         _member("title", "Title"),
         _member("type", "ActivityType"),
-        _member("updatedAt", _time("TimeGenerated"), False),
+        _member("updatedAt", json_time("TimeGenerated"), False),
     ]
 ) + " || '}'"
 
@@ -177,8 +177,8 @@ ROW_JSON = "'{' || " + " || ',' || ".join(
         _member("SchemaVersion", "SchemaVersion"),
         _member("ServiceDetails", SERVICE_TEXT, False),
         _member("Severity", "CAST(SeverityInt AS VARCHAR)", False),
-        _member("TimeCreated", _time("TimeCreated"), False),
-        _member("TimeGenerated", _time("TimeGenerated"), False),
+        _member("TimeCreated", json_time("TimeCreated"), False),
+        _member("TimeGenerated", json_time("TimeGenerated"), False),
         _member("Title", "Title"),
     ]
 ) + " || '}'"

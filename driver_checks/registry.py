@@ -852,22 +852,36 @@ SMOKE_TESTS = {
 }
 
 
+# What the metrics of each smoke test hold: times, a list as text, numbers.
+SMOKE_METRICS = {
+    "e1_data_availability": ("RecordCount", "LatestRecord", "OldestRecord", "DataSpanSeconds"),
+    "e2_structure_score": ("TotalRecords", "StructureScore", "UniqueFindingTypes", "UniqueAccounts"),
+    "e3_type_diversity": ("TotalTypes", "TopFindingTypes"),
+    "e4_network_quality": ("NetworkFindings", "FindingsWithRemoteIP", "UniqueRemoteIPs", "UniqueCountries"),
+    "e5_identity_quality": ("IAMFindings", "FindingsWithAPI", "FindingsWithUser", "UniqueAPIs", "UniqueUsers"),
+}
+
+
+def _metrics_sql(key: str) -> str:
+    def shown(name: str) -> str:
+        if name in ("LatestRecord", "OldestRecord"):
+            return O.json_time(name)
+        if name == "TopFindingTypes":
+            return f"'[\"' || replace({name}, '; ', '\",\"') || '\"]'"
+        return f"CAST({name} AS VARCHAR)"
+
+    return "'{' || " + " || ',' || ".join(f"'\"{n}\":' || COALESCE({shown(n)}, 'null')" for n in SMOKE_METRICS[key]) + " || '}'"
+
+
 @check(
     "e12_smoke_suite",
     " UNION ALL ".join(
-        f"SELECT '{test}' AS Test, TestResult FROM ({ORACLE[key]}) AS {key}" for test, key in SMOKE_TESTS.items()
+        f"SELECT '{test}' AS Test, TestResult, {_metrics_sql(key)} AS Metrics FROM ({ORACLE[key]}) AS {key}"
+        for test, key in SMOKE_TESTS.items()
     ),
 )
 def _(spark, sf):
-    suite = reports.smoke_suite(
-        S.table(spark, sf, "7d"),
-        S.base(spark, sf, "1d"),
-        S.base(spark, sf, "7d"),
-        network_of(spark, sf, "7d"),
-        identity_of(spark, sf, "7d"),
-        AS_OF,
-    )
-    return suite.select("Test", "TestResult")
+    return reports.smoke_suite(S.table(spark, sf, "7d"), AS_OF)
 
 
 @check(

@@ -75,3 +75,10 @@ def test_a_time_filter_skips_row_groups(spark, tmp_path):
 def test_lookback_literal_is_the_pinned_time(spark):
     text = plan(sources.base(spark, SF, "7d"))
     assert "2024-01-24" in text and AS_OF.day == 31
+
+
+def test_the_smoke_suite_is_two_scans_and_one_shuffle_of_ids(spark):
+    text = plan(registry.QUERIES["e12_smoke_suite"](spark, SF))
+    assert text.count("FileScan parquet") == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(Id#", text)) == 1
+    assert not re.search("Python|CartesianProduct|BroadcastNestedLoop", text)

@@ -72,6 +72,53 @@ def test_verdicts_over_nothing(spark, finding):
     assert [(r.RecordCount, r.ConfigEntries, r.ParsedRecords) for r in report] == [(0, None, None), (None, 15, None), (None, None, 0)]
 
 
+SMOKE_NAMES = ["Data Availability", "Data Structure", "Finding Types", "Network Findings", "IAM Findings"]
+
+
+def smoke_of(stored):
+    rows = reports.smoke_suite(stored, AS_OF).collect()
+    assert [r.Test for r in rows] == SMOKE_NAMES
+    return [(r.TestResult, json.loads(r.Metrics)) for r in rows]
+
+
+def separate(stored, week, day):
+    """The smoke tests' results from the reports one by one."""
+    from pyspark.sql import functions as F
+    from watchtide.functions.text import json_bag
+
+    each = [
+        reports.data_availability(stored, as_of=AS_OF),
+        reports.structure_score(day),
+        reports.type_diversity(week),
+        reports.network_quality(network_findings(week)),
+        reports.identity_quality(identity_findings(week)),
+    ]
+    told = [df.select("TestResult", json_bag(*[F.col(c) for c in df.columns[1:]]).alias("m")).first() for df in each]
+    return [(r.TestResult, json.loads(r.m)) for r in told]
+
+
+def test_smoke_suite_in_one_pass_equals_the_reports(spark, finding):
+    """Findings of the week and of the day, of all kinds, some with an older copy outside the day, and none at all."""
+    kinds = ["Trojan:EC2/DropPoint", "Policy:IAMUser/RootCredentialUsage", "Stealth:S3/LogsOff", "Impact:RDS/Guess"]
+    call = {"actionType": "AWS_API_CALL", "awsApiCallAction": {"api": "ListUsers", "remoteIpDetails": {"ipAddressV4": "198.18.9.9"}}}
+    rows = []
+    for i in range(60):
+        row = json.loads(json.dumps(finding)) | {"id": f"s{i % 40}", "type": f"{kinds[i % 4]}.{i % 13}", "accountId": f"{i % 7:012d}"}
+        row["updatedAt"] = f"2025-03-{12 + i % 7:02d}T{i % 24:02d}:10:00.000Z"
+        if i % 3 == 0:
+            row["service"]["action"] = call
+        if i % 5 == 0:
+            row["service"]["action"] = {"actionType": "OTHER"}
+        rows.append(row)
+    stored = table(spark, *rows)
+    found = smoke_of(stored)
+    assert found == separate(stored, base(spark, *rows), base(spark, *rows, lookback="1d"))
+    assert found[1][1]["TotalRecords"] < found[3][1]["NetworkFindings"] and found[4][1]["IAMFindings"] > 0
+    assert len(found[2][1]["TopFindingTypes"]) == 10
+    empty = stored.limit(0)
+    assert [r[0][:4] for r in smoke_of(empty)] == ["FAIL", "FAIL", "FAIL", "INFO", "INFO"]
+
+
 def test_verdicts_over_rows(spark, many):
     rows, stored = base(spark, *many), table(spark, *many)
     assert reports.data_availability(stored, as_of=AS_OF).first().TestResult.startswith("PASS")
@@ -89,9 +136,7 @@ def test_verdicts_over_rows(spark, many):
     assert reports.recent_health(rows, AS_OF + timedelta(hours=5)).first().HealthStatus.startswith("Data delay")
     assert reports.data_lag(stored, AS_OF).first().Status == "KMS permissions working"
     assert reports.data_lag(stored, AS_OF + timedelta(minutes=40)).first().Status == "Data lag detected"
-    smoke = reports.smoke_suite(stored, rows, rows, network_findings(rows), identity_findings(rows), AS_OF).collect()
-    assert [r.Test for r in smoke] == ["Data Availability", "Data Structure", "Finding Types", "Network Findings", "IAM Findings"]
-    assert json.loads(smoke[1].Metrics)["TotalRecords"] == rows.count()
+    assert smoke_of(stored) == separate(stored, rows, base(spark, *many, lookback="1d"))
     assert [r.ResolutionSteps[:2] for r in reports.resolution_steps(spark).collect()] == [f"{i}." for i in range(1, 8)]
 
 

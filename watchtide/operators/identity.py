@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from watchtide.functions.text import classify, first_match, first_text, has, is_empty, not_empty
 from watchtide.functions.variant import Read, with_reads
@@ -110,16 +110,15 @@ IDENTITY_COLUMNS = (
 )
 
 
-def identity_findings(base: DataFrame) -> DataFrame:
-    """API calls and the identities behind them.
+def is_identity() -> Column:
+    """Which rows of the base view are identity findings, before their quality is judged."""
+    return (F.col("ActionType") == "AWS_API_CALL") | has(F.col("FindingType"), *TYPE_TERMS)
 
-    ``UserName`` prefers the account's ``affiliated`` flag, so it can read ``true`` or ``false``; a Critical finding
-    scores like an unbanded one. Both are what existing users of the view get.
-    """
-    kind, level = F.col("FindingType"), F.col("SeverityLevel")
-    api_call = F.col("ActionType") == "AWS_API_CALL"
-    rows = with_reads(base.filter(api_call | has(kind, *TYPE_TERMS)), READS)
-    col = F.col
+
+def with_calls(rows: DataFrame) -> DataFrame:
+    """The call, its caller and ``DataQuality`` of rows that carry the ``READS``; rows stay as they are otherwise."""
+    kind, col = F.col("FindingType"), F.col
+    api_call = col("ActionType") == "AWS_API_CALL"
     unknown = F.lit("Unknown")
     typed = rows.withColumns(
         {
@@ -153,7 +152,7 @@ def identity_findings(base: DataFrame) -> DataFrame:
         }
     )
     key = col("AccessKeyId")
-    judged = typed.withColumns(
+    return typed.withColumns(
         {
             "ActionResult": first_match(
                 [
@@ -191,7 +190,17 @@ def identity_findings(base: DataFrame) -> DataFrame:
                 "Good",
             ),
         }
-    ).filter(col("DataQuality") == "Good")
+    )
+
+
+def identity_findings(base: DataFrame) -> DataFrame:
+    """API calls and the identities behind them.
+
+    ``UserName`` prefers the account's ``affiliated`` flag, so it can read ``true`` or ``false``; a Critical finding
+    scores like an unbanded one. Both are what existing users of the view get.
+    """
+    level, col = F.col("SeverityLevel"), F.col
+    judged = with_calls(with_reads(base.filter(is_identity()), READS)).filter(col("DataQuality") == "Good")
     risk = F.when(level == "Low", LOW_RISK).otherwise(OTHER_RISK)
     for band, result, score in RISK:
         risk = F.when((level == band) & (col("ActionResult") == result), score).otherwise(risk)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from watchtide.functions.severity import severity_points
 from watchtide.functions.text import classify, contains, first_match, has, is_false, not_empty
@@ -124,6 +124,15 @@ NETWORK_COLUMNS = (
 )
 
 
+def is_network() -> Column:
+    """Which rows of the base view are network findings."""
+    kind = F.col("FindingType")
+    wanted = (F.col("ActionType") == "NETWORK_CONNECTION") | has(kind, *TYPE_TERMS)
+    for piece in TYPE_PARTS:
+        wanted = wanted | contains(kind, piece)
+    return wanted
+
+
 def network_findings(base: DataFrame, geo: GeoRanges | None = None, settings: Settings = DEFAULTS) -> DataFrame:
     """Connections seen by network findings, with category, direction and risk score.
 
@@ -131,10 +140,7 @@ def network_findings(base: DataFrame, geo: GeoRanges | None = None, settings: Se
     enrichment switched off, those columns are empty.
     """
     kind = F.col("FindingType")
-    wanted = (F.col("ActionType") == "NETWORK_CONNECTION") | has(kind, *TYPE_TERMS)
-    for piece in TYPE_PARTS:
-        wanted = wanted | contains(kind, piece)
-    rows = with_reads(base.filter(wanted), READS)
+    rows = with_reads(base.filter(is_network()), READS)
     groups = F.regexp_extract_all("SecurityGroupsText", F.lit('"groupId":"([^"]+)"'), F.lit(1))
     direction = F.col("ConnectionDirection")
     country = F.col("RemoteCountry")

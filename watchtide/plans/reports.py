@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from watchtide.functions.text import first_match, not_empty
+from watchtide.functions.text import first_match, json_bag, not_empty
 from watchtide.functions.times import at, hour, instant, seconds_between, timespan, whole_share
+from watchtide.operators.base import base_findings
+from watchtide.operators.identity import READS as IDENTITY_READS, is_identity, with_calls
+from watchtide.operators.network import READS as NETWORK_READS, is_network
+from watchtide.settings import DEFAULTS, Settings
 
 # How many groups the top lists keep and how many hourly bins a pattern looks at.
 TOP_TYPES = 10
 TOP_PAIRS = 20
 PATTERN_HOURS = 24
 
+# Tasks that rank values before the ranks meet.
+TYPE_SALTS = 64
+
 # Resolution checklist.
 RESOLUTION_STEPS = (
     "1. KMS Issues: Add GuardDuty service principal to KMS key policy",
@@ -74,108 +81,92 @@ def structure_score(base: DataFrame, approximate: bool = False) -> DataFrame:
         + F.count_if(not_empty(F.col("AwsAccountId")))
         + _rows()
     )
-    total, score = F.col("TotalRecords"), F.col("StructureScore")
-    return (
-        base.agg(
-            _rows().alias("TotalRecords"),
-            filled.alias("_filled"),
-            _distinct("FindingType", approximate).alias("UniqueFindingTypes"),
-            _distinct("AwsAccountId", approximate).alias("UniqueAccounts"),
-        )
-        .withColumn("StructureScore", whole_share(F.col("_filled"), total * 4))
-        .select(
-            first_match(
-                [
-                    (total == 0, "FAIL: No parseable GuardDuty records"),
-                    (score < 80, "WARNING: Some records missing required fields"),
-                ],
-                "PASS: GuardDuty data structure is valid",
-            ).alias("TestResult"),
-            "TotalRecords",
-            "StructureScore",
-            "UniqueFindingTypes",
-            "UniqueAccounts",
-        )
+    return base.agg(
+        _rows().alias("TotalRecords"),
+        filled.alias("_filled"),
+        _distinct("FindingType", approximate).alias("UniqueFindingTypes"),
+        _distinct("AwsAccountId", approximate).alias("UniqueAccounts"),
+    ).select(*_structure())
+
+
+def _structure() -> list[Column]:
+    total = F.col("TotalRecords")
+    score = whole_share(F.col("_filled"), total * 4)
+    verdict = first_match(
+        [
+            (total == 0, "FAIL: No parseable GuardDuty records"),
+            (score < 80, "WARNING: Some records missing required fields"),
+        ],
+        "PASS: GuardDuty data structure is valid",
     )
+    counts = [F.col(c) for c in ("UniqueFindingTypes", "UniqueAccounts")]
+    return [verdict.alias("TestResult"), total, score.alias("StructureScore"), *counts]
 
 
 def type_diversity(base: DataFrame) -> DataFrame:
     """The most frequent finding types as one list, ties in name order."""
     top = base.groupBy("FindingType").agg(_rows().alias("n")).orderBy(F.desc("n"), "FindingType").limit(TOP_TYPES)
     label = F.concat("FindingType", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
-    types = F.col("TotalTypes")
     listed = _ranked_list(top, F.struct(-F.col("n"), F.col("FindingType")), label, _rows().alias("TotalTypes"))
-    return listed.select(
-        first_match(
-            [
-                (types == 0, "FAIL: No finding types detected"),
-                (types < 3, "WARNING: Limited finding type diversity"),
-            ],
-            "PASS: Multiple GuardDuty finding types detected",
-        ).alias("TestResult"),
-        "TotalTypes",
-        F.col("labels").alias("TopFindingTypes"),
+    return listed.select(*_diversity())
+
+
+def _diversity() -> list[Column]:
+    types = F.col("TotalTypes")
+    verdict = first_match(
+        [
+            (types == 0, "FAIL: No finding types detected"),
+            (types < 3, "WARNING: Limited finding type diversity"),
+        ],
+        "PASS: Multiple GuardDuty finding types detected",
     )
+    return [verdict.alias("TestResult"), types, F.col("labels").alias("TopFindingTypes")]
 
 
 def network_quality(network: DataFrame, approximate: bool = False) -> DataFrame:
     """How many network findings carry addresses and ports."""
-    total = F.col("NetworkFindings")
-    return (
-        network.agg(
-            _rows().alias("NetworkFindings"),
-            F.count_if(not_empty(F.col("RemoteIp"))).alias("FindingsWithRemoteIP"),
-            _distinct("RemoteIp", approximate).alias("UniqueRemoteIPs"),
-            _distinct("RemoteCountry", approximate).alias("UniqueCountries"),
-        )
-        .select(
-            first_match(
-                [
-                    (total == 0, "INFO: No network findings in timeframe"),
-                    (
-                        whole_share(F.col("FindingsWithRemoteIP"), total) < 50,
-                        "WARNING: Many network findings missing IP details",
-                    ),
-                ],
-                "PASS: Network findings have good data quality",
-            ).alias("TestResult"),
-            "NetworkFindings",
-            "FindingsWithRemoteIP",
-            "UniqueRemoteIPs",
-            "UniqueCountries",
-        )
+    return network.agg(
+        _rows().alias("NetworkFindings"),
+        F.count_if(not_empty(F.col("RemoteIp"))).alias("FindingsWithRemoteIP"),
+        _distinct("RemoteIp", approximate).alias("UniqueRemoteIPs"),
+        _distinct("RemoteCountry", approximate).alias("UniqueCountries"),
+    ).select(*_addresses())
+
+
+def _addresses() -> list[Column]:
+    total, known = F.col("NetworkFindings"), F.col("FindingsWithRemoteIP")
+    verdict = first_match(
+        [
+            (total == 0, "INFO: No network findings in timeframe"),
+            (whole_share(known, total) < 50, "WARNING: Many network findings missing IP details"),
+        ],
+        "PASS: Network findings have good data quality",
     )
+    return [verdict.alias("TestResult"), total, known, *[F.col(c) for c in ("UniqueRemoteIPs", "UniqueCountries")]]
 
 
 def identity_quality(identity: DataFrame, approximate: bool = False) -> DataFrame:
     """How many identity findings carry calls and users."""
-    total = F.col("IAMFindings")
-    return (
-        identity.agg(
-            _rows().alias("IAMFindings"),
-            F.count_if(not_empty(F.col("ApiName"))).alias("FindingsWithAPI"),
-            F.count_if(not_empty(F.col("UserName"))).alias("FindingsWithUser"),
-            _distinct("ApiName", approximate).alias("UniqueAPIs"),
-            _distinct("UserName", approximate).alias("UniqueUsers"),
-        )
-        .select(
-            first_match(
-                [
-                    (total == 0, "INFO: No IAM findings in timeframe"),
-                    (
-                        whole_share(F.col("FindingsWithAPI"), total) < 50,
-                        "WARNING: Many IAM findings missing API details",
-                    ),
-                ],
-                "PASS: IAM findings have good data quality",
-            ).alias("TestResult"),
-            "IAMFindings",
-            "FindingsWithAPI",
-            "FindingsWithUser",
-            "UniqueAPIs",
-            "UniqueUsers",
-        )
+    return identity.agg(
+        _rows().alias("IAMFindings"),
+        F.count_if(not_empty(F.col("ApiName"))).alias("FindingsWithAPI"),
+        F.count_if(not_empty(F.col("UserName"))).alias("FindingsWithUser"),
+        _distinct("ApiName", approximate).alias("UniqueAPIs"),
+        _distinct("UserName", approximate).alias("UniqueUsers"),
+    ).select(*_calls())
+
+
+def _calls() -> list[Column]:
+    total, known = F.col("IAMFindings"), F.col("FindingsWithAPI")
+    verdict = first_match(
+        [
+            (total == 0, "INFO: No IAM findings in timeframe"),
+            (whole_share(known, total) < 50, "WARNING: Many IAM findings missing API details"),
+        ],
+        "PASS: IAM findings have good data quality",
     )
+    counts = [F.col(c) for c in ("FindingsWithUser", "UniqueAPIs", "UniqueUsers")]
+    return [verdict.alias("TestResult"), total, known, *counts]
 
 
 def ingestion_pattern(table: DataFrame, as_of: datetime | None = None, lookback="7d") -> DataFrame:
@@ -374,25 +365,78 @@ def diagnostic_report(table: DataFrame, settings_rows: DataFrame, base: DataFram
     )
 
 
-def smoke_suite(
-    table: DataFrame,
-    base_day: DataFrame,
-    base_week: DataFrame,
-    network_week: DataFrame,
-    identity_week: DataFrame,
-    as_of: datetime | None = None,
-) -> DataFrame:
-    """The five smoke tests as rows ``(Test, TestResult, Metrics)``."""
-    tests = (
-        ("Data Availability", data_availability(table, as_of=as_of)),
-        ("Data Structure", structure_score(base_day)),
-        ("Finding Types", type_diversity(base_week)),
-        ("Network Findings", network_quality(network_week)),
-        ("IAM Findings", identity_quality(identity_week)),
+def _metric(name: str, key: str, when: Column) -> Column:
+    return F.when(when, F.struct(F.lit(name).alias("metric"), F.col(key).alias("key")))
+
+
+def smoke_suite(table: DataFrame, as_of: datetime | None = None, settings: Settings = DEFAULTS) -> DataFrame:
+    """The five smoke tests as rows ``(Test, TestResult, Metrics)``: availability, structure, types, network, identity.
+
+    Two scans and one shuffle of ids. A finding's newest copy of the week is that of the day too where it lies in the
+    day, so the day's base is a part of the week's, and the network and identity findings are marked in it. Rows become
+    one count per metric and value, which gives totals and distinct values at once, and no metric's values gather in
+    one task: types are ranked per salt before the ranks of all salts meet.
+    """
+    address = [r for r in NETWORK_READS if r.name in ("RemoteIp", "RemoteCountry")]
+    week = with_calls(base_findings(table, "7d", as_of, settings, reads=(*IDENTITY_READS, *address)))
+    day = F.col("TimeGenerated") >= at(as_of, "1d")
+    call = is_identity() & (F.col("DataQuality") == "Good")
+    metrics = F.array(
+        _metric("type of the day", "FindingType", day),
+        _metric("account of the day", "AwsAccountId", day),
+        _metric("type", "FindingType", F.lit(True)),
+        _metric("address", "RemoteIp", is_network()),
+        _metric("country", "RemoteCountry", is_network()),
+        _metric("call", "ApiName", call),
+        _metric("user", "UserName", call),
+    )
+    # The parts that a row of the day has filled; the raw text always is.
+    parts = not_empty(F.col("FindingId")).cast("int") + F.col("Severity").isNotNull().cast("int") + 1
+    entries = week.select(parts.alias("parts"), F.explode(F.array_compact(metrics)).alias("m")).select("m.*", "parts")
+    counts = entries.groupBy("metric", "key").agg(_rows().alias("n"), F.sum("parts").alias("parts"))
+    salted = Window.partitionBy("metric", F.pmod(F.xxhash64("key"), F.lit(TYPE_SALTS))).orderBy(F.desc("n"), "key")
+    ranked = counts.withColumn("place", F.row_number().over(salted))
+
+    def total(metric: str, value: str = "n", when: Column | None = None) -> Column:
+        wanted = F.col("metric") == metric
+        return F.coalesce(F.sum(F.when(wanted if when is None else wanted & when, F.col(value))), F.lit(0))
+
+    def values(metric: str) -> Column:
+        return F.count_if(F.col("metric") == metric)
+
+    known = not_empty(F.col("key"))
+    leading = F.when((F.col("metric") == "type") & (F.col("place") <= TOP_TYPES), F.struct((-F.col("n")).alias("n"), "key"))
+    totals = ranked.agg(
+        total("type of the day").alias("TotalRecords"),
+        (total("type of the day", "parts") + total("account of the day", when=known)).alias("_filled"),
+        values("type of the day").alias("UniqueFindingTypes"),
+        values("account of the day").alias("UniqueAccounts"),
+        F.slice(F.sort_array(F.collect_list(leading)), 1, TOP_TYPES).alias("_types"),
+        total("address").alias("NetworkFindings"),
+        total("address", when=known).alias("FindingsWithRemoteIP"),
+        values("address").alias("UniqueRemoteIPs"),
+        values("country").alias("UniqueCountries"),
+        total("call").alias("IAMFindings"),
+        total("call", when=known).alias("FindingsWithAPI"),
+        total("user", when=known).alias("FindingsWithUser"),
+        values("call").alias("UniqueAPIs"),
+        values("user").alias("UniqueUsers"),
+    ).withColumns(
+        {
+            "TotalTypes": F.size("_types").cast("bigint"),
+            "labels": F.transform("_types", lambda t: F.concat(t["key"], F.lit(" ("), (-t["n"]).cast("string"), F.lit(")"))),
+        }
+    )
+
+    def row(test: str, verdict: Column, *measures: Column) -> Column:
+        return F.struct(F.lit(test).alias("Test"), verdict, json_bag(*measures).alias("Metrics"))
+
+    available = data_availability(table, as_of=as_of)
+    first = available.select(row("Data Availability", *[F.col(c) for c in available.columns]).alias("r"))
+    others = F.array(
+        row("Data Structure", *_structure()),
+        row("Finding Types", *_diversity()),
+        row("Network Findings", *_addresses()),
+        row("IAM Findings", *_calls()),
     )
-    suite = None
-    for name, report in tests:
-        metrics = F.to_json(F.struct(*[c for c in report.columns if c != "TestResult"]))
-        row = report.select(F.lit(name).alias("Test"), "TestResult", metrics.alias("Metrics"))
-        suite = row if suite is None else suite.unionByName(row)
-    return suite
+    return first.unionByName(totals.select(F.explode(others).alias("r"))).select("r.*")
