@@ -71,11 +71,23 @@ def test_moved_and_partial_passages(spark, items):
         "filler " * 60_000 + ITEM,
     ]
     got = found(spark, items, texts)
-    assert set(got) == {(0, 1), (1, 1), (2, 1), (5, 5), (6, None), (10, 1)}
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (5, 5), (6, None), (9, 2), (10, 1)}
     assert [got[k].coverage for k in ((0, 1), (1, 1), (2, 1), (5, 5))] == [1.0, 1.0, 0.5, 1.0]
     assert len(got[1, 1].tiles) == 2 and got[10, 1].tiles[0].doc_at == 60_000
 
 
+def test_items_shorter_than_a_seed(spark):
+    """They have to be there word by word, in one piece; one or two words are no passage; many places are one tile."""
+    items = spark.createDataFrame([(1, "Blue, green red"), (2, "blue green"), (3, "w x y z"), (4, "again again again"), (5, "p q r s t")], "item_id long, text string")
+    texts = ["so blue green RED it is", "blue then green red", "w x y", "v w x y z", "again " * 3000, "blue green", "p q r s", "p q r s t u"]
+    got = found(spark, items, texts)
+    assert set(got) == {(0, 1), (3, 3), (4, 4), (7, 5)}
+    assert all(r.coverage == 1.0 and len(r.tiles) == 1 for r in got.values())
+    assert got[4, 4].tiles[0].doc_at == 0
+    longer = {(r.id, r.item) for r in contained_items(spark.createDataFrame([(0, "blue green")], "doc_id long, text string"), items, Tiling(shortest=1)).collect()}
+    assert longer == {(0, 2)}
+
+
 def test_rows_leave_or_stay(spark, items):
     docs = spark.createDataFrame(
         [(1, ITEM, 1), (1, "clean", 2), (None, ITEM, 3), (None, None, 4), (2, "clean", 5), (2, "clean", 5)], "doc_id long, text string, version int"

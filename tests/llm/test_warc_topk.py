@@ -82,6 +82,21 @@ def test_file_and_split_sizes(spark, tmp_path):
     assert not [p for p in (tmp_path / "warc").iterdir() if p.name.startswith("_")]
 
 
+def test_batches_are_bounded_in_bytes(spark, tmp_path):
+    """Many large records in one file come in batches of few; a record beyond the bound comes alone."""
+    from watchtide.llm.warc import WarcReader
+
+    sizes = [1000] * 20 + [300_000] + [1000] * 20
+    pages = spark.createDataFrame([(i, f"http://a/{i}", chr(97 + i % 26) * n + str(i)) for i, n in enumerate(sizes)], "page_id long, url string, html string").coalesce(1)
+    path = archive(pages, str(tmp_path / "large"))
+    reader = WarcReader(path, ["record_id", "payload"], 1 << 30, 20_000)
+    (part,) = reader.partitions()
+    batches = list(reader.read(part))
+    assert sum(b.num_rows for b in batches) == len(sizes)
+    assert all(sum(len(p) for p in b["payload"].to_pylist()[:-1]) < 20_000 for b in batches) and len(batches) >= 4
+    assert read_warc(spark, path).count() == len(sizes)
+
+
 def test_archives_of_others_and_faults(spark, tmp_path):
     record = (
         b"WARC/1.0\nWARC-Type: resource\nWARC-Record-ID: <urn:x>\nX-Long: a\n b\nContent-Type: text/plain\nContent-Length: 3\n\nabc\n\n"

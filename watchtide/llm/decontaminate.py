@@ -1,6 +1,7 @@
 """Benchmark passages in documents, in whatever order their parts come, by greedy string tiling.
 
-1. Rolling Karp-Rabin hashes of ``seed`` neighbouring words are taken of benchmark items and documents. A bitmap of
+1. Rolling Karp-Rabin hashes of ``seed`` neighbouring words are taken of benchmark items and documents; an item of fewer
+   words has one hash of its whole length, and documents are hashed at each such length that occurs. A bitmap of
    fixed size, made of the items' hashes, sorts out nearly all hashes of the documents where they are read; a join
    decides on the rest.
 2. Seeds that follow each other in an item and in a document run together into matches. The longest match is marked as
@@ -27,10 +28,12 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Tiling:
-    """Words of the shortest tile, share of an item that must be covered, and size of the bitmap."""
+    """Words of the shortest tile, share of an item that must be covered, words of the shortest item (one or two words
+    are an everyday phrase, and every text that has it would count as contaminated), and size of the bitmap."""
 
     seed: int = 5
     coverage: float = 0.5
+    shortest: int = 3
     bitmap_bits: int = 1 << 23
 
 
@@ -81,56 +84,66 @@ def tiles(pairs: list[tuple[int, int]], width: int) -> list[tuple[int, int, int]
 
 
 def _seeds(items: DataFrame, rule: Tiling) -> DataFrame:
-    """``(item, words, places, seeds)`` of every item that has a seed."""
+    """``(item, words, at, seed)`` of every item that is long enough; a seed is as long as the item where that is shorter."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words = [word_hashes(t, PUNCTUATION) for t in batch["text"]]
-            seeds = [rolling(w, rule.seed).view(np.int64) for w in words]
+            seeds = [rolling(w, min(rule.seed, max(rule.shortest, len(w)))).view(np.int64) for w in words]
             yield pd.DataFrame({"item": batch["item"], "words": [len(w) for w in words], "seeds": seeds})
 
     rows = items.mapInPandas(of, f"item {items.schema['item'].dataType.simpleString()}, words int, seeds array<bigint>")
     return rows.select("item", "words", F.posexplode("seeds").alias("at", "seed"))
 
 
-def _hits(texts: DataFrame, bitmap: np.ndarray, rule: Tiling) -> DataFrame:
-    """``(id, version, at, seed)`` of the document seeds that the bitmap lets pass."""
+def _hits(texts: DataFrame, bitmap: np.ndarray, widths: list[int]) -> DataFrame:
+    """``(id, version, width, at, seed)`` of the document seeds, of any of the widths, that the bitmap lets pass."""
     bits = 64 * len(bitmap)
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for key, version, text in zip(batch["id"], batch["version"], batch["text"]):
-                seeds = rolling(word_hashes(text, PUNCTUATION), rule.seed).view(np.int64)
-                at = np.flatnonzero(in_bitmap(bitmap, np.mod(seeds, bits)))
-                if len(at):
-                    rows.append((key, version, at, seeds[at]))
-            yield pd.DataFrame(rows, columns=["id", "version", "at", "seed"])
+                words = word_hashes(text, PUNCTUATION)
+                for width in widths:
+                    seeds = rolling(words, width).view(np.int64)
+                    at = np.flatnonzero(in_bitmap(bitmap, np.mod(seeds, bits)))
+                    if len(at):
+                        rows.append((key, version, width, at, seeds[at]))
+            yield pd.DataFrame(rows, columns=["id", "version", "width", "at", "seed"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    rows = texts.mapInPandas(of, f"id {kind}, version bigint, at array<bigint>, seed array<bigint>")
-    return rows.select("id", "version", F.explode(F.arrays_zip("at", "seed")).alias("hit")).select("id", "version", F.col("hit.at").cast("int").alias("at"), F.col("hit.seed").alias("seed"))
+    rows = texts.mapInPandas(of, f"id {kind}, version bigint, width int, at array<bigint>, seed array<bigint>")
+    hit = rows.select("id", "version", "width", F.explode(F.arrays_zip("at", "seed")).alias("hit"))
+    return hit.select("id", "version", "width", F.col("hit.at").cast("int").alias("at"), F.col("hit.seed").alias("seed"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, rule: Tiling = Tiling(), id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(id, version, item, item_words, covered, coverage, longest, tiles)`` of every document that contains an item.
 
     Words are runs of letters and digits, A-Z taken as a-z. ``version`` is the hash of the text, which tells rows of
-    one id apart; equal rows count once. Null or empty texts and items, and items of fewer words than a seed, match
-    nothing; rows without an id are documents like others. Items that share an id and a length count as one. Empty
+    one id apart; equal rows count once. Null or empty texts and items, and items of fewer
+    than ``rule.shortest`` words, match nothing; an item of fewer words than a seed is contained where all its words
+    follow each other; rows without an id are documents like others. Items that share an id and a length count as one. Empty
     tables give no rows; other columns are not read.
     """
     bounded_batches(docs.sparkSession)
     seeds = stored(_seeds(items.select(items[item_id].alias("item"), items[item_text].alias("text")), rule).distinct(), "seeds")
     bitmap = gathered_bitmap(seeds.select(F.pmod("seed", F.lit(rule.bitmap_bits)).alias("mark")), rule.bitmap_bits)
     texts = docs.select(docs[id].alias("id"), F.xxhash64(docs[text]).alias("version"), docs[text].alias("text"))
-    hits = _hits(texts, bitmap, rule)
-    places = seeds.select("seed", "item", "words", F.col("at").alias("item_at"))
-    pairs = hits.join(places, "seed").groupBy("id", "version", "item", "words").agg(F.collect_set(F.struct("at", "item_at")).alias("pairs"))
+    width = F.least("words", F.lit(rule.seed))
+    # There are as many widths as a seed has words at most.
+    widths = sorted(r[0] for r in seeds.select(width).distinct().collect())
+    hits = _hits(texts, bitmap, widths)
+    places = seeds.select("seed", "item", "words", F.col("at").alias("item_at"), width.alias("width"))
+    place, short = F.struct("at", "item_at"), F.col("words") < rule.seed
+    # A short item lies in its first place as a whole, so its other places are not gathered.
+    grouped = hits.join(places, ["seed", "width"]).groupBy("id", "version", "item", "words").agg(F.collect_set(F.when(~short, place)).alias("pairs"), F.min(F.when(short, place)).alias("first"))
+    pairs = grouped.select("id", "version", "item", "words", F.when(short, F.array("first")).otherwise(F.col("pairs")).alias("pairs"))
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [tiles([(p["at"], p["item_at"]) for p in pairs], rule.seed) for pairs in batch["pairs"]]
+            found = [tiles([(p["at"], p["item_at"]) for p in pairs], min(rule.seed, n)) for pairs, n in zip(batch["pairs"], batch["words"])]
             out = batch[["id", "version", "item", "words"]].copy()
             out["covered"] = [sum(t[2] for t in f) for f in found]
             out["tiles"] = [[{"doc_at": d, "item_at": i, "length": n} for d, i, n in f] for f in found]

@@ -79,10 +79,13 @@ def _tiles(rule: TopK):
                 own, other = np.frombuffer(query_ids, np.int64), np.frombuffer(ids, np.int64)
                 queries = np.frombuffer(query_data).reshape(len(own), dim)
                 scores = _scores(queries, np.frombuffer(data).reshape(len(other), dim))
+                best = []
                 for query, row in zip(own, scores):
                     others = np.flatnonzero(other != query)
-                    at = others[_best(row[others], other[others], rule.k)]
-                    yield pd.DataFrame({"query_id": query, "node": node, "vec_id": other[at], "score": row[at]})
+                    best.append(others[_best(row[others], other[others], rule.k)])
+                counts = [len(at) for at in best]
+                rows, at = np.repeat(np.arange(len(own)), counts), np.concatenate([*best, np.empty(0, np.int64)]).astype(np.int64)
+                yield pd.DataFrame({"query_id": own[rows], "node": node, "vec_id": other[at], "score": scores[rows, at]})
 
     return of
 

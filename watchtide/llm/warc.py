@@ -41,6 +41,9 @@ SCHEMA = (
     "refers_to string, payload binary"
 )
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+_ARROW = {c: {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[k] for c, k in map(str.split, SCHEMA.split(", "))}
+#: What a row takes beside its payload, roughly.
+_ROW_BYTES = 512
 
 #: Fixed values of the format.
 _VERSION = b"WARC/1.1\r\n"
@@ -181,8 +184,8 @@ def _payload(block: bytes, headers: dict[str, str]) -> bytes:
 class WarcReader(DataSourceReader):
     """Reads the records that pass the pushed conditions, and decodes payloads only if the schema has them."""
 
-    def __init__(self, path: str, columns: list[str], split_bytes: int) -> None:
-        self.path, self.columns, self.split_bytes = path, columns, split_bytes
+    def __init__(self, path: str, columns: list[str], split_bytes: int, batch_bytes: int = 4 << 20) -> None:
+        self.path, self.columns, self.split_bytes, self.batch_bytes = path, columns, split_bytes, batch_bytes
         self.wanted: dict[str, set] = {}
 
     def pushFilters(self, filters: list[Filter]):
@@ -207,7 +210,29 @@ class WarcReader(DataSourceReader):
             size += length
         return [_Files(g) for g in groups]
 
-    def read(self, partition: _Files) -> Iterator[tuple]:
+    def read(self, partition: _Files) -> Iterator[pa.RecordBatch] | Iterator[tuple]:
+        """Rows of headers as they come; with payloads in Arrow batches, since Spark bounds its own by rows alone."""
+        if "payload" in self.columns:
+            yield from self._batches(partition)
+        else:
+            yield from (tuple(row[c] for c in self.columns) for row in self._rows(partition))
+
+    def _batches(self, partition: _Files) -> Iterator[pa.RecordBatch]:
+        """Batches that end at ``batch_bytes`` of payloads, so that a worker holds no more than that and a record."""
+        rows, size = [], 0
+        for row in self._rows(partition):
+            rows.append(row)
+            size += _ROW_BYTES + len(row["payload"] or b"")
+            if size >= self.batch_bytes:
+                yield self._batch(rows)
+                rows, size = [], 0
+        if rows:
+            yield self._batch(rows)
+
+    def _batch(self, rows: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], _ARROW[c]) for c in self.columns], names=self.columns)
+
+    def _rows(self, partition: _Files) -> Iterator[dict]:
         system, _ = _system(self.path)
         for name in partition.names:
             if name.endswith(".gz"):
@@ -217,7 +242,7 @@ class WarcReader(DataSourceReader):
                 with system.open_input_file(name) as raw:
                     yield from self._records(io.BufferedReader(raw, 1 << 16))
 
-    def _records(self, stream: io.BufferedReader) -> Iterator[tuple]:
+    def _records(self, stream: io.BufferedReader) -> Iterator[dict]:
         while (headers := _head(stream)) is not None:
             length = int(headers.get("content-length", 0))
             row = {c: headers.get(n.lower()) for c, n in _HEADERS.items()}
@@ -237,11 +262,12 @@ class WarcReader(DataSourceReader):
                     raise ValueError(f"payload of {row['record_id']} does not have its digest")
             else:
                 stream.seek(length, io.SEEK_CUR)
-            yield tuple(row[c] for c in self.columns)
+            yield row
 
 
 class WarcSource(DataSource):
-    """Options: ``path``, ``file_bytes`` (a file ends beyond it) and ``split_bytes`` (files of a read task)."""
+    """Options: ``path``, ``file_bytes`` (a file ends beyond it), ``split_bytes`` (files of a read task) and
+    ``batch_bytes`` (payloads that a reader holds)."""
 
     @classmethod
     def name(cls) -> str:
@@ -251,7 +277,7 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options["path"], schema.fieldNames(), int(self.options.get("split_bytes", 64 << 20)))
+        return WarcReader(self.options["path"], schema.fieldNames(), int(self.options.get("split_bytes", 64 << 20)), int(self.options.get("batch_bytes", 4 << 20)))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], int(self.options.get("file_bytes", 64 << 20)))
