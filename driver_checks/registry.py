@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, TimestampType, VariantType
@@ -18,11 +18,11 @@ from watchtide.operators import base as base_view
 from watchtide.operators import database, identity, kubernetes, malware, network, parity, quality, sessions, storage
 from watchtide.operators.geo import GeoRanges
 from watchtide.operators.newest import newest_per_key
-from watchtide.plans import hunting, reports
+from watchtide.plans import hunting, reports, sketches
 from watchtide.settings import Settings, settings_table
 from watchtide.sources import batches, contracts, exports, table as tables
 from watchtide.storage import work_folder
-from watchtide.streaming import ingest, latest, monitors, unique
+from watchtide.streaming import archive, ingest, latest, monitors, unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1381,6 +1381,46 @@ def _committed(spark, sf) -> tuple[str, str]:
     return f"{path}/table", f"{path}/quarantine"
 
 
+@check(
+    "g1_day_archive",
+    f"WITH {O.TABLE}, {O.MIXED} SELECT Id, Arn, ActivityType, SeverityInt AS Severity, TimeGenerated, COUNT(*) AS copies "
+    "FROM checked WHERE contract_error IS NULL GROUP BY ALL",
+)
+def _(spark, sf):
+    """The ingested table with its first half archived, then all but the last week: read once, wherever a row lies."""
+    store = archive.DayArchive(_committed(spark, sf)[0], work_folder(spark, "archive"))
+    for days in (15, 7):
+        store.compact(spark, (AS_OF - timedelta(days=days)).date())
+    store.vacuum(spark)
+    return store.read(spark).groupBy("Id", "Arn", "ActivityType", "Severity", "TimeGenerated").agg(F.count(F.lit(1)).alias("copies"))
+
+
+SKETCHED = (("Findings", "Id"), ("FindingTypes", "ActivityType"), ("Accounts", "AccountId"), ("Regions", "Region"))
+
+
+@check(
+    "gb_daily_sketches",
+    O.with_table(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS Measure, COUNT(DISTINCT CAST(TimeGenerated AS DATE)) AS Days, COUNT(*) AS Records, "
+            f"COUNT(DISTINCT {column}) AS Exact, TRUE AS Close FROM t WHERE TimeGenerated >= {AS_OF_SQL} - INTERVAL '14' DAY"
+            for name, column in SKETCHED
+        )
+    ),
+)
+def _(spark, sf):
+    """Estimates from one stored sketch per day, beside the exact counts: close is within five standard errors."""
+    path = work_folder(spark, "sketches")
+    sketches.write_sketches(S.table(spark, sf), path)
+    estimated = sketches.distinct_counts(sketches.read_sketches(spark, path), "14d", AS_OF)
+    exact = S.table(spark, sf, "14d").filter(F.col("TimeGenerated") >= F.lit(AS_OF - timedelta(days=14)))
+    counted = exact.agg(*[F.count_distinct(column).alias(f"exact_{name}") for name, column in SKETCHED])
+    pairs = [F.struct(F.lit(n).alias("Measure"), F.col(n).alias("Estimate"), F.col(f"exact_{n}").alias("Exact")) for n, _ in SKETCHED]
+    rows = estimated.join(counted).select("Days", "Records", F.explode(F.array(*pairs)).alias("m")).select("Days", "Records", "m.*")
+    bound = F.col("Exact") * 5 * 1.04 / 2 ** (sketches.REGISTERS_LOG2 / 2)
+    return rows.select("Measure", "Days", "Records", "Exact", (F.abs(F.col("Estimate") - F.col("Exact")) <= bound).alias("Close"))
+
+
 WHOLE = (
     'Id, Arn, AccountId, ActivityType, Description, PartitionName AS "Partition", Region, SchemaVersion, SeverityInt AS Severity, '
     f"TimeCreated, TimeGenerated, Title, {O.RESOURCE_TEXT} AS Resource, {O.SERVICE_TEXT} AS Service"
