@@ -105,5 +105,7 @@ def test_sketches_count_over_days(spark, finding, tmp_path):
     assert (ranged.Days, ranged.Records) == (1, day.count())
     none = sketches.distinct_counts(sketches.daily_sketches(stored.limit(0))).first()
     assert tuple(none) == (0, 0, 0, 0, 0, 0)
+    blank = table(spark, finding, {**finding, "id": "", "region": ""}).withColumn("AccountId", F.lit(None).cast("string"))
+    assert tuple(sketches.distinct_counts(sketches.daily_sketches(blank)).first()) == (1, 2, 2, 1, 0, 2)
     unknown = table(spark, {**finding, "updatedAt": "not a time"})
     assert sketches.daily_sketches(unknown).count() == 0

@@ -20,9 +20,10 @@ def daily_sketches(table: DataFrame) -> DataFrame:
     """``Day, Records`` and one sketch per measure for every UTC day of ``TimeGenerated``; rows without a time give no day.
 
     Tasks sketch their own rows before the shuffle, which carries one row per task and day, whatever the day holds.
-    Null values do not count.
+    Null values do not count; the empty text is a value, which a sketch would pass over without the mark before it.
     """
-    sketches = [F.hll_sketch_agg(column, REGISTERS_LOG2).alias(name) for name, column in MEASURES.items()]
+    marked = {name: F.concat(F.lit("="), F.col(column)) for name, column in MEASURES.items()}
+    sketches = [F.hll_sketch_agg(value, REGISTERS_LOG2).alias(name) for name, value in marked.items()]
     dated = table.filter(F.col("TimeGenerated").isNotNull()).withColumn(DAY, utc_day(F.col("TimeGenerated")))
     return dated.groupBy(DAY).agg(F.count(F.lit(1)).alias("Records"), *sketches)
 
