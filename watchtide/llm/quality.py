@@ -1,9 +1,8 @@
 """Text quality by compression: how much better a dictionary of good text compresses a text than one of bad text.
 
 Two zstandard dictionaries are trained, on texts labelled good and bad. A text is cut into chunks, each compressed with
-either dictionary and with none; the sums over the whole text give the difference of the compressed sizes, normalised
-by the size without a dictionary and by the length, and the plain ratio. A logistic curve, fitted on labelled texts
-that the dictionaries have not seen, turns these into a probability.
+either dictionary; the difference of the two sums, per byte of the text, is the only thing that is looked at. A logistic
+curve of it, fitted on labelled texts that the dictionaries have not seen, turns it into a probability.
 """
 
 from __future__ import annotations
@@ -27,53 +26,44 @@ class Learning:
 
     rows: int = 2000
     row_bytes: int = 1 << 15
-    chunk: int = 2048
-    dictionary_bytes: int = 1 << 16
+    chunk: int = 512
+    dictionary_bytes: int = 1 << 18
     level: int = 3
 
 
 @dataclass(frozen=True)
 class Model:
-    """Two dictionaries and the curve: weights of the standardised sizes, the constant last."""
+    """Two dictionaries and the curve ``1 / (1 + exp(-(slope * difference + constant)))``."""
 
     good: bytes
     bad: bytes
-    centre: tuple[float, ...]
-    spread: tuple[float, ...]
-    weights: tuple[float, ...]
+    slope: float
+    constant: float
     chunk: int
     level: int
 
+    def probability(self, differences: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * differences + self.constant, -30, 30)))
+
 
 @functools.lru_cache(maxsize=4)
-def _coders(good: bytes, bad: bytes, level: int) -> list[zstandard.ZstdCompressor]:
-    coders = []
-    for data in (good, bad, b""):
-        if data:
-            known = zstandard.ZstdCompressionDict(data)
-            known.precompute_compress(level=level)
-            coders.append(zstandard.ZstdCompressor(dict_data=known, write_content_size=False, write_dict_id=False))
-        else:
-            coders.append(zstandard.ZstdCompressor(level=level, write_content_size=False))
-    return coders
-
-
-def sizes(text: str | None, good: bytes, bad: bytes, chunk: int, level: int) -> tuple[float, ...]:
-    """Normalised size difference, difference per byte, ratio and log length of a text; zeros for null or empty."""
+def _coder(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
+    if not dictionary:
+        return zstandard.ZstdCompressor(level=level, write_content_size=False)
+    known = zstandard.ZstdCompressionDict(dictionary)
+    known.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(dict_data=known, write_content_size=False, write_dict_id=False)
+
+
+def difference(text: str | None, good: bytes, bad: bytes, chunk: int, level: int) -> float:
+    """Compressed size with the bad dictionary less that with the good one, per byte; 0 for a null or empty text."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
-        return 0.0, 0.0, 0.0, 0.0
-    with_good, with_bad, plain = (
-        sum(len(coder.compress(data[i : i + chunk])) for i in range(0, len(data), chunk)) for coder in _coders(good, bad, level)
+        return 0.0
+    with_good, with_bad = (
+        sum(len(_coder(d, level).compress(data[i : i + chunk])) for i in range(0, len(data), chunk)) for d in (good, bad)
     )
-    return (with_bad - with_good) / plain, (with_bad - with_good) / len(data), plain / len(data), float(np.log1p(len(data)))
-
-
-def _inputs(raw: np.ndarray, centre, spread) -> np.ndarray:
-    """Standardised sizes, their squares and products, and a constant."""
-    x = np.clip((raw - np.array(centre)) / np.array(spread), -8, 8)
-    crossed = [x[:, i] * x[:, j] for i in range(x.shape[1]) for j in range(i, x.shape[1])]
-    return np.column_stack([x, *crossed, np.ones(len(x))])
+    return (with_bad - with_good) / len(data)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -106,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, rul
 
     The sample: of each label the ``rule.rows`` ids first in hash order, texts over ``rule.row_bytes`` left out; half
     of it makes the dictionaries, half the curve, weighted to the shares that the labels have in all. Ids with both
-    labels, null ids and null labels are not learnt from. With less than one text of either label, all scores are the
+    labels, null ids and null labels are not learnt from; of an id with several texts the smallest is. With less than one text of either label, all scores are the
     share of good labels, 1/2 without any.
     """
     clean = labels.filter(labels[id].isNotNull() & labels[label].isin(0, 1))
@@ -119,37 +109,37 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, rul
         drawn = part if drawn is None else drawn.unionByName(part)
     texts = docs.select(docs[id].alias("id"), docs[text].alias("text")).filter(F.octet_length("text").between(1, rule.row_bytes))
     # The drawn ids are 2 * rule.rows at most, whatever the size of the tables.
-    sample = texts.join(F.broadcast(drawn), "id").dropDuplicates(["id"]).select("id", "label", "text").toPandas()
+    sample = texts.join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text")).toPandas()
     sample["turn"] = [zlib.crc32(str(i).encode()) for i in sample["id"]]
     sample = sample.sort_values(["turn", "id"], kind="stable")
     halves = {v: [t.encode("utf-8", "surrogatepass") for t in sample.loc[sample["label"] == v, "text"]] for v in (0, 1)}
     if min(map(len, halves.values())) < 2:
         total = sum(shares.values())
         odds = np.log((shares.get(1, 0) + 0.5) / (shares.get(0, 0) + 0.5)) if total else 0.0
-        return Model(b"", b"", (0.0,) * 4, (1.0,) * 4, (0.0,) * 14 + (float(odds),), rule.chunk, rule.level)
+        return Model(b"", b"", 0.0, float(odds), rule.chunk, rule.level)
     bad, good = (_dictionary(halves[v][::2], rule) for v in (0, 1))
     rest = [(t.decode("utf-8", "surrogatepass"), v) for v in (0, 1) for t in halves[v][1::2]]
-    raw = np.array([sizes(t, good, bad, rule.chunk, rule.level) for t, _ in rest])
+    raw = np.array([difference(t, good, bad, rule.chunk, rule.level) for t, _ in rest])
     y = np.array([v for _, v in rest], float)
-    centre, spread = raw.mean(0), raw.std(0) + 1e-9
+    centre, spread = raw.mean(), raw.std() + 1e-9
     total = sum(shares.values())
     weight = np.where(y == 1, shares[1] / total / y.sum(), shares[0] / total / (1 - y).sum()) * len(y)
-    weights = _logistic(_inputs(raw, centre, spread), y, weight)
-    return Model(good, bad, tuple(centre), tuple(spread), tuple(weights), rule.chunk, rule.level)
+    slope, constant = _logistic(np.column_stack([(raw - centre) / spread, np.ones(len(y))]), y, weight)
+    return Model(good, bad, float(slope / spread), float(constant - slope * centre / spread), rule.chunk, rule.level)
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, the probability of label 1, and ``predicted``, 1 from 1/2 on; columns so named give way.
 
-    Null and empty texts have the sizes of nothing and get the score of these. No shuffle; every chunk of a text counts.
+    Null and empty texts have the difference 0 and get the score of it. No shuffle; every chunk of a text counts.
     """
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            raw = np.array([sizes(t, model.good, model.bad, model.chunk, model.level) for t in batch], float).reshape(len(batch), 4)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(_inputs(raw, model.centre, model.spread) @ np.array(model.weights), -30, 30))))
+            raw = np.array([difference(t, model.good, model.bad, model.chunk, model.level) for t in batch], float)
+            yield pd.Series(model.probability(raw))
 
     scored = docs.withColumn("score", score(docs[text]))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
