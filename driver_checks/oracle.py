@@ -100,12 +100,12 @@ t AS (SELECT * EXCLUDE (arn, region, title, description), finding_id AS Id, acti
   FROM a)"""
 
 
-def newest(lookback: str | None = "30", source: str = "t") -> str:
+def newest(lookback: str | None = "30", source: str = "t", *ties: str) -> str:
     where = f"WHERE TimeGenerated >= {AS_OF_SQL} - INTERVAL '{lookback}' DAY" if lookback else ""
     return (
         f"SELECT * FROM {source} {where} QUALIFY ROW_NUMBER() OVER (PARTITION BY Id ORDER BY TimeGenerated DESC, "
         "TimeCreated DESC NULLS LAST, SeverityInt DESC NULLS LAST, ActivityType DESC, SchemaVersion DESC, "
-        "AccountId DESC, Region DESC, Arn DESC) = 1"
+        f"AccountId DESC, Region DESC, Arn DESC{''.join(f', {c} DESC' for c in ties)}) = 1"
     )
 
 
@@ -134,6 +134,13 @@ RESOURCE_TEXT = json_text(RESOURCE)
 SERVICE_TEXT = f"CASE WHEN has_service THEN {json_text(SERVICE)} ELSE '{{}}' END"
 
 
+CONTENT_HASH = (
+    "CAST('0x' || substr(md5(concat_ws(chr(1), "
+    + ", ".join(f"COALESCE({c}, chr(2))" for c in ("Title", "Description", "PartitionName", RESOURCE_TEXT, SERVICE_TEXT))
+    + ")), 1, 15) AS BIGINT)"
+)
+
+
 def _member(name: str, value: str, quoted: bool = True) -> str:
     shown = f"CAST(to_json(CAST({value} AS VARCHAR)) AS VARCHAR)" if quoted else value
     return f"'\"{name}\":' || COALESCE(CASE WHEN {value} IS NOT NULL THEN {shown} END, 'null')"

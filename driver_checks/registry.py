@@ -552,7 +552,7 @@ def _(spark, sf):
 
 @check("c1a_longest_lookback", O.with_base("SELECT Id AS FindingId, TimeGenerated FROM b", "90"))
 def _(spark, sf):
-    return base_view.base_findings(S.table(spark, sf), "3650d", AS_OF).select("FindingId", "TimeGenerated")
+    return base_view.stored_base(spark, S.table_path(spark, sf), "3650d", AS_OF).select("FindingId", "TimeGenerated")
 
 
 @check("c1c_newest_per_id", f"WITH {O.TABLE} SELECT Id, Arn, TimeGenerated FROM ({O.newest(None)}) AS n")
@@ -560,6 +560,21 @@ def _(spark, sf):
     return newest_per_key(S.table(spark, sf)).select("Id", "Arn", "TimeGenerated")
 
 
+EQUAL_TIMES = (
+    f"WITH {O.TABLE}, twice AS (SELECT * FROM t UNION ALL SELECT * REPLACE (Title || ' again' AS Title) FROM t), "
+    f"hashed AS (SELECT *, {O.CONTENT_HASH} AS ContentHash FROM twice) SELECT Id, Arn, Title, ContentHash FROM "
+    f"({O.newest(None, 'hashed', 'ContentHash')}) AS n"
+)
+
+
+@check("c1c_equal_time_copies", EQUAL_TIMES)
+def _(spark, sf):
+    """Every copy comes twice, with equal times and other titles: the same one is kept in every run."""
+    rows = S.table(spark, sf)
+    twice = rows.unionByName(rows.withColumn("Title", F.concat("Title", F.lit(" again"))))
+    return newest_per_key(tables.with_content_hash(twice)).select("Id", "Arn", "Title", "ContentHash")
+
+
 @check(
     "c1d_finding_json",
     O.with_base(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driver_checks.derived import AS_OF, FINDING, attributes_sql, json_sql
-from watchtide.operators.base import base_findings
+from watchtide.operators.base import stored_base
 from watchtide.operators.geo import GeoRanges
 from watchtide.sources.exports import explode_batches, read_findings, unwrap_events
 from watchtide.sources.table import findings, to_findings_table, write_findings
@@ -116,7 +116,7 @@ def table(spark: SparkSession, sf_dir: str, lookback=None) -> DataFrame:
 
 
 def base(spark: SparkSession, sf_dir: str, lookback="30d", reads=()) -> DataFrame:
-    return base_findings(table(spark, sf_dir, lookback or "7d"), lookback, AS_OF, reads=reads)
+    return stored_base(spark, table_path(spark, sf_dir), lookback, AS_OF, reads=reads)
 
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,13 @@ import copy
 import json
 import random
 import time
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, envelope, table
+from watchtide.operators.base import base_findings, stored_base
 from watchtide.operators.newest import newest_per_key
 from watchtide.sources.exports import stream_findings, unwrap_events
 from watchtide.sources.table import FINDINGS, findings, to_findings_table, write_findings
@@ -147,6 +148,29 @@ def test_latest_store_equals_the_batch_view(spark, finding, folders):
             LatestStore("x", **bad)
 
 
+def test_equal_time_copies_have_one_winner(spark, finding, folders):
+    """Copies that differ in title or documents alone: the same one in any partitioning, stored, streamed or not."""
+    rows = []
+    for n in range(40):
+        for k in range(5):
+            one = {**copy.deepcopy(finding), "id": f"f{n}", "title": f"title {n} {k}" if n % 2 else "same"}
+            one["service"]["count"] = k
+            rows.append(one)
+    winners = []
+    for parts in (1, 3, 8):
+        dealt = table(spark, *rows).repartition(parts, F.rand(parts))
+        write_findings(dealt, folders(f"t{parts}"))
+        view = stored_base(spark, folders(f"t{parts}"), "30d", datetime(2025, 3, 20, tzinfo=timezone.utc))
+        winners.append({r.FindingId: r.RawJson for r in view.select("FindingId", "RawJson").collect()})
+    assert winners[0] == winners[1] == winners[2] and len(winners[0]) == 40
+    store = LatestStore(folders("latest"), compact_every=2, buckets=3)
+    shuffled = [rows[i * 37 % 200] for i in range(200)]
+    for batch in range(4):
+        store.merge(table(spark, *shuffled[batch * 50 : batch * 50 + 50]), batch)
+    view = base_findings(store.read(spark), "30d", datetime(2025, 3, 20, tzinfo=timezone.utc)).select("FindingId", "RawJson")
+    assert {r.FindingId: r.RawJson for r in view.collect()} == winners[0]
+
+
 def test_latest_store_takes_a_batch_once(spark, finding, folders):
     rows = copies(finding, 60, 5)
     store = LatestStore(folders("latest"), compact_every=2, buckets=3)

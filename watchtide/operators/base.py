@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from watchtide.functions.severity import severity_level
 from watchtide.functions.text import json_bag, not_empty, points, starts_with, text
@@ -12,6 +12,7 @@ from watchtide.functions.times import at, instant
 from watchtide.functions.variant import Read, member
 from watchtide.operators.newest import newest_per_key
 from watchtide.settings import DEFAULTS, Settings
+from watchtide.sources.table import findings
 
 # Source stamp, supported schema versions, points per filled field and the score a row must reach.
 RECORD_SOURCE = "AWSGuardDuty_Main"
@@ -138,3 +139,19 @@ def base_findings(
         scored = scored.filter(F.col("DataQualityScore") >= PASSING_SCORE)
     banded = scored.withColumn("SeverityLevel", severity_level(F.col("Severity")))
     return banded.select(*BASE_COLUMNS, *[r.name for r in reads])
+
+
+def stored_base(
+    spark: SparkSession,
+    path: str,
+    lookback=None,
+    as_of: datetime | None = None,
+    settings: Settings = DEFAULTS,
+    reads: tuple[Read, ...] = (),
+) -> DataFrame:
+    """The base view of the table at ``path``: one lookback for the day folders and for the rows inside them.
+
+    Equal-time copies that differ in documents alone are told apart by the stored hash of their content.
+    """
+    table = findings(spark, path, settings.lookback(lookback), as_of, with_hash=True)
+    return base_findings(table, lookback, as_of, settings, reads)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Copies with the same time are told apart by these short columns, so that every run keeps the same one. Long ones are
-# left out: they would ride through the shuffle of every view.
-TIE_BREAK = ("TimeCreated", "Severity", "ActivityType", "SchemaVersion", "AccountId", "Region", "Arn")
+# Copies with the same time are told apart by these short columns, so that every run keeps the same one. Long ones would
+# ride through the shuffle of every view; the last column, which is stored with the table, stands for them.
+TIE_BREAK = ("TimeCreated", "Severity", "ActivityType", "SchemaVersion", "AccountId", "Region", "Arn", "ContentHash")
 
 
 def newest_first(df: DataFrame, time: str = "TimeGenerated", ties=TIE_BREAK) -> list[Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DateType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -40,7 +41,8 @@ FINDINGS = StructType(
     ]
 )
 PARTITION_COLUMN = "GeneratedDate"
-STORED = StructType([*FINDINGS.fields, StructField(PARTITION_COLUMN, DateType())])
+CONTENT_HASH = "ContentHash"
+STORED = StructType([*FINDINGS.fields, StructField(CONTENT_HASH, LongType()), StructField(PARTITION_COLUMN, DateType())])
 
 
 def to_findings_table(df: DataFrame, *carried: str | Column) -> DataFrame:
@@ -125,6 +127,22 @@ def to_flat_record(df: DataFrame, default_region: str = "") -> DataFrame:
     return df.select(*[column.alias(name) for name, column in columns.items()])
 
 
+def content_hash() -> Column:
+    """60 bits of the MD5 of what the short columns of a copy do not say: title, description, partition, documents.
+
+    It is stored with every row, so that copies which differ in nothing else have an order that no view has to read
+    the documents for. A missing value is not an empty one.
+    """
+    long_ones = ("Title", "Description", "Partition", F.to_json("ResourceDetails"), F.to_json("ServiceDetails"))
+    parts = [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("\x02")) for c in long_ones]
+    return F.conv(F.substring(F.md5(F.concat_ws("\x01", *parts)), 1, 15), 16, 10).cast("long")
+
+
+def with_content_hash(table: DataFrame) -> DataFrame:
+    """The 14 columns and ``ContentHash``."""
+    return table.select(*FINDINGS.names, content_hash().alias(CONTENT_HASH))
+
+
 def micros(df: DataFrame) -> DataFrame:
     """Makes the session of ``df`` write Parquet times with statistics, so that a time filter skips row groups."""
     df.sparkSession.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
@@ -138,17 +156,22 @@ def write_findings(df: DataFrame, path: str, mode: str = "append") -> None:
     file is neither tiny nor written by one overloaded task. Files are sorted by time, and variants are shredded on write: a later read of one
     member reads one Parquet column.
     """
-    dated = df.select(*FINDINGS.names, utc_day(F.col("TimeGenerated")).alias(PARTITION_COLUMN))
+    dated = with_content_hash(df).select("*", utc_day(F.col("TimeGenerated")).alias(PARTITION_COLUMN))
     dealt = micros(dated.hint("rebalance", F.col(PARTITION_COLUMN)).sortWithinPartitions(PARTITION_COLUMN, "TimeGenerated"))
     dealt.write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path)
 
 
-def findings(spark: SparkSession, path: str, lookback=None, as_of: datetime | None = None) -> DataFrame:
-    """The table's 14 columns. With a lookback only the day folders inside it are listed and read."""
+def findings(
+    spark: SparkSession, path: str, lookback=None, as_of: datetime | None = None, with_hash: bool = False
+) -> DataFrame:
+    """The table's 14 columns, and ``ContentHash`` on request, null in files older than it.
+
+    With a lookback only the day folders inside it are listed and read.
+    """
     table = spark.read.schema(STORED).parquet(path)
     if lookback is not None:
         table = table.filter(F.col(PARTITION_COLUMN) >= day_at(as_of, lookback))
-    return table.select(*FINDINGS.names)
+    return table.select(*FINDINGS.names, *([CONTENT_HASH] if with_hash else []))
 
 
 def table_counts(tables: dict[str, DataFrame], prefix: str = "", since: datetime | None = None) -> DataFrame:
