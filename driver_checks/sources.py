@@ -18,21 +18,27 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with a UTC timestamp, spread over the cores: the given file is one split."""
-    return given(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+def events(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
+    """Events with a UTC timestamp, in at least so many tasks, of 50,000 events each where there are more.
+
+    The given file is one split, or a few: they are dealt while they are narrow, before a copy is made of each.
+    """
+    rows = given(spark, sf_dir, "events")
+    tasks = max(least, rows.count() // 50_000)
+    narrow = rows.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return narrow.repartition(tasks)
 
 
-def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(attributes_sql("{source}"), source=events(spark, sf_dir))
+def attributes(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
+    return spark.sql(attributes_sql("{source}"), source=events(spark, sf_dir, least))
 
 
-def finding_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def finding_lines(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
     """Every copy as one JSON line: ``(e, raw)``."""
-    return attributes(spark, sf_dir).select("e", F.expr(json_sql(FINDING)).alias("raw"))
+    return attributes(spark, sf_dir, least).select("e", F.expr(json_sql(FINDING)).alias("raw"))
 
 
-def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def export_lines(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
     """The copies as an export would bring them: bare, enveloped, batched, and with lines that break the contract.
 
     By event number modulo 12: 0 an event envelope, 1 an envelope of another sender, 2 a batch of one, 3 an empty
@@ -60,7 +66,7 @@ def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 7, F.lit('{"source":"aws.guardduty"}'))
         .otherwise(raw)
     )
-    return finding_lines(spark, sf_dir).select("e", line.alias("raw"))
+    return finding_lines(spark, sf_dir, least).select("e", line.alias("raw"))
 
 
 def _kept(spark: SparkSession, sf_dir: str, name: str, write) -> str:
@@ -73,31 +79,19 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return _STORED[key]
 
 
-def _files(lines: DataFrame, least: int) -> DataFrame:
-    """Lines for at least so many gzip files, of 50,000 lines each where there are more: a gzip file is one task."""
-    return lines.select("raw").repartition(max(least, lines.count() // 50_000))
+def _write_lines(lines: DataFrame, path: str) -> None:
+    """A gzip file per task of ``lines``: the text is written where it is made, and none of it is shuffled."""
+    lines.select("raw").write.option("compression", "gzip").text(path)
 
 
 def finding_export(spark: SparkSession, sf_dir: str) -> str:
     """Folder of gzip JSON Lines with every copy as a bare finding."""
-    lines = finding_lines(spark, sf_dir)
-    return _kept(
-        spark,
-        sf_dir,
-        "finding-export",
-        lambda path: _files(lines, 8).write.option("compression", "gzip").text(path),
-    )
+    return _kept(spark, sf_dir, "finding-export", lambda path: _write_lines(finding_lines(spark, sf_dir, 8), path))
 
 
 def mixed_export(spark: SparkSession, sf_dir: str) -> str:
     """Folder of gzip JSON Lines with the forms of ``export_lines``."""
-    lines = export_lines(spark, sf_dir)
-    return _kept(
-        spark,
-        sf_dir,
-        "mixed-export",
-        lambda path: _files(lines, 4).write.option("compression", "gzip").text(path),
-    )
+    return _kept(spark, sf_dir, "mixed-export", lambda path: _write_lines(export_lines(spark, sf_dir, 4), path))
 
 
 def unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
