@@ -209,6 +209,23 @@ def test_latest_store_takes_a_batch_once(spark, finding, folders):
     assert {r.Id: r.Arn for r in store.read(spark).collect()} == newest(spark, rows)
 
 
+def test_latest_store_rewrites_a_copy_as_often_as_batches_can_be_halved(spark, finding, folders, monkeypatch):
+    written, write = [], LatestStore._write
+    monkeypatch.setattr(LatestStore, "_write", lambda self, rows, folder: written.append((folder, rows.count())) or write(self, rows, folder))
+    store = LatestStore(folders("latest"), compact_every=2, buckets=1)
+    rows = [{**finding, "id": f"n{i}", "arn": f"a{i}"} for i in range(16)]
+    rows[15] = {**rows[15], "id": "n0", "updatedAt": "2025-04-01T00:00:00Z", "arn": "later"}
+    for n, row in enumerate(rows[:14]):
+        store.merge(table(spark, row), n)
+    assert [deltas for _, deltas in store.manifest(spark)["buckets"]["0"]["base"]] == [8, 4, 2]
+    assert {r.Arn for r in store.read(spark).collect()} == {f"a{i}" for i in range(14)}
+    for n, row in enumerate(rows[14:]):
+        store.merge(table(spark, row), 14 + n)
+    # 2, 4, 2, 8, 2, 4, 2, and all 15 ids: with the whole bucket at every compaction it would be 71.
+    assert sum(count for folder, count in written if folder.startswith("base")) == 39
+    assert {r.Id: r.Arn for r in store.read(spark).collect()} == {f"n{i}": f"a{i}" for i in range(1, 15)} | {"n0": "later"}
+
+
 def test_latest_store_rewrites_and_shuffles_open_buckets_only(spark, finding, folders):
     store = LatestStore(folders("latest"), compact_every=2, buckets=8)
     rows = [{**finding, "id": f"n{i}", "arn": f"a{i}"} for i in range(60)]
