@@ -13,3 +13,9 @@ def test_lines_are_made_after_events_are_dealt(spark):
     # Three narrow columns are shuffled, and no text is.
     dealt = plan[plan.index("Repartition 6, true") :].splitlines()[1]
     assert plan.count("Repartition") == 1 and "Project [event_id" in dealt and "value" not in dealt and "raw" not in dealt
+
+
+def test_a_streamed_export_grows_in_lines_before_it_grows_in_files():
+    """A stream takes a file or two per trigger, so its files hold 250,000 lines once there are 24; others keep 50,000."""
+    assert [S.task_count(n, 4, streamed=True) for n in (1_000, 600_000, 2_400_000, 6_000_000, 36_000_000)] == [4, 12, 24, 24, 144]
+    assert [S.task_count(n, 8) for n in (1_000, 600_000, 36_000_000)] == [8, 12, 720]
