@@ -280,7 +280,9 @@ def _(spark, sf):
     O.with_table("SELECT Arn, COUNT(*) AS copies FROM t GROUP BY Arn"),
 )
 def _(spark, sf):
-    packed = batches.pack_batches(S.table(spark, sf), lanes=6, **BATCH_LIMITS)
+    table = S.table(spark, sf)
+    shared = batches.tasks_per_lane(table.count(), 6)
+    packed = batches.pack_batches(table, lanes=6, lane_tasks=shared, **BATCH_LIMITS)
     return (
         packed.select(F.explode("records").alias("record"))
         .groupBy(F.get_json_object("record", "$.Arn").alias("Arn"))

@@ -5,8 +5,9 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from watchtide.sources.batches import batch_summary, pack_batches
+from watchtide.sources.batches import batch_summary, pack_batches, tasks_per_lane
 
 
 def greedy(records, max_rows, max_bytes):
@@ -61,3 +62,18 @@ def test_limits(spark):
     exact = len('[{"Id":"a","Title":"' + "x" * 100 + '"}]')
     assert pack_batches(df, 25, exact).first().bytes == exact
     assert batch_summary(pack_batches(df.filter("false"))).first().asDict() == {"batches_sent": 0, "records_sent": 0}
+
+
+def test_a_lane_of_many_records_is_shared_by_tasks(spark):
+    """What a task reads is bounded: the lanes stay, each packed by several tasks, and no number comes twice."""
+    assert [tasks_per_lane(n, 6) for n in (0, 1_500_000, 1_500_001, 36_000_000)] == [1, 1, 2, 24]
+    df = spark.range(3000).selectExpr("'same' AS Id", "cast(id AS STRING) AS Title")
+    packed = pack_batches(df, lanes=4, lane_tasks=3)
+    per_task = packed.groupBy(F.spark_partition_id().alias("task"), "lane").agg(F.sum("rows").alias("records")).collect()
+    assert len(per_task) == 12 and {t.lane for t in per_task} == {0, 1, 2, 3} and max(t.records for t in per_task) < 300
+    rows = packed.collect()
+    assert len({(p.lane, p.batch_no) for p in rows}) == len(rows)
+    assert {p.batch_no >> 32 for p in rows} == {0, 1, 2} and all(p.rows <= 25 for p in rows)
+    assert sorted(json.loads(r)["Title"] for p in rows for r in p.records) == sorted(str(i) for i in range(3000))
+    with pytest.raises(ValueError, match="share"):
+        pack_batches(df, lane_tasks=2)

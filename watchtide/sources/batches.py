@@ -17,19 +17,32 @@ MAX_BYTES = 900_000
 PACKED = "lane INT, batch_no BIGINT, rows INT, bytes BIGINT, records ARRAY<STRING>"
 
 
+# Fixed value: records that a task of a lane packs at most, where the number of records is known.
+TASK_RECORDS = 250_000
+
+
+def tasks_per_lane(records: int, lanes: int) -> int:
+    """Tasks that share a lane, so that what one task reads does not grow with the number of records."""
+    return max(1, -(-records // (lanes * TASK_RECORDS)))
+
+
 def pack_batches(
-    df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, lanes: int | None = None
+    df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, lanes: int | None = None, lane_tasks: int = 1
 ) -> DataFrame:
     """Greedy batches of JSON records: ``(lane, batch_no, rows, bytes, records)``.
 
     ``bytes`` is the UTF-8 size of the batch as a JSON array. Each partition is a lane and is packed as it streams by,
     holding one batch at a time, so nothing is shuffled and no key can overload a task. ``lanes`` spreads the records
-    evenly over that many senders first. A record above the limit fails the job.
+    evenly over that many senders first, each served by ``lane_tasks`` tasks that pack their share one beside the other;
+    the numbers of a lane's batches are gapless in each share and start at a multiple of ``2 ** 32``, the first at 0. A
+    record above the limit fails the job.
     """
     if max_rows < 1 or max_bytes < 3:
         raise ValueError("batch limits must be positive")
+    if lane_tasks < 1 or (lane_tasks > 1 and not lanes):
+        raise ValueError("tasks share the lanes that are given")
     record = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), JSON_OPTIONS)
-    spread = df.repartition(lanes) if lanes else df
+    spread = df.repartition(lanes * lane_tasks) if lanes else df
     encoded = spread.select(F.spark_partition_id().alias("lane"), record.alias("record")).withColumn(
         "size", F.octet_length("record").cast("long")
     )
@@ -56,7 +69,9 @@ def pack_batches(
         for chunk in chunks:
             if chunk.num_rows == 0:
                 continue
-            lane = chunk.column("lane")[0].as_py()
+            if records is None and batch_no == 0:
+                share, lane = divmod(chunk.column("lane")[0].as_py(), lanes) if lanes else (0, chunk.column("lane")[0].as_py())
+                batch_no = share << 32
             new_records, new_sizes = chunk.column("record"), chunk.column("size").to_numpy()
             if int(new_sizes.max()) + 2 > max_bytes:
                 raise ValueError("a single record exceeds the batch byte limit")
