@@ -19,3 +19,14 @@ def test_a_streamed_export_grows_in_lines_before_it_grows_in_files():
     """A stream takes a file or two per trigger, so its files hold 250,000 lines once there are 24; others keep 50,000."""
     assert [S.task_count(n, 4, streamed=True) for n in (1_000, 600_000, 2_400_000, 6_000_000, 36_000_000)] == [4, 12, 24, 24, 144]
     assert [S.task_count(n, 8) for n in (1_000, 600_000, 36_000_000)] == [8, 12, 720]
+
+
+def test_an_export_is_packed_at_the_fastest_level(spark, tmp_path):
+    """Less time to write, more bytes, the same rows."""
+    lines = S.export_lines(spark, SF, 1)
+    S._write_lines(lines, str(tmp_path / "fast"))
+    lines.select("raw").write.option("compression", "gzip").text(str(tmp_path / "plain"))
+    fast, plain = (sum(f.stat().st_size for f in (tmp_path / n).glob("*.gz")) for n in ("fast", "plain"))
+    assert plain < fast
+    read = [sorted(r.value for r in spark.read.text(str(tmp_path / n)).collect()) for n in ("fast", "plain")]
+    assert read[0] == read[1] and len(read[0]) == S.given(spark, SF, "events").count()
