@@ -1433,7 +1433,9 @@ def _(spark, sf):
     exact = S.table(spark, sf, "14d").filter(F.col("TimeGenerated") >= F.lit(AS_OF - timedelta(days=14)))
     counted = exact.agg(*[F.count_distinct(column).alias(f"exact_{name}") for name, column in SKETCHED])
     pairs = [F.struct(F.lit(n).alias("Measure"), F.col(n).alias("Estimate"), F.col(f"exact_{n}").alias("Exact")) for n, _ in SKETCHED]
-    rows = estimated.join(counted).select("Days", "Records", F.explode(F.array(*pairs)).alias("m")).select("Days", "Records", "m.*")
+    both = estimated.unionByName(counted, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    rows = one.select("Days", "Records", F.explode(F.array(*pairs)).alias("m")).select("Days", "Records", "m.*")
     bound = F.col("Exact") * 5 * 1.04 / 2 ** (sketches.REGISTERS_LOG2 / 2)
     return rows.select("Measure", "Days", "Records", "Exact", (F.abs(F.col("Estimate") - F.col("Exact")) <= bound).alias("Close"))
 
