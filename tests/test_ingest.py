@@ -295,3 +295,22 @@ def test_a_task_reads_a_bounded_split_of_the_table(spark, finding, tmp_path, mon
         assert findings(spark, path).count() == 50
     finally:
         spark.conf.unset(option) if before is None else spark.conf.set(option, before)
+
+
+def test_a_task_reads_few_files_of_an_export(spark, tmp_path, monkeypatch):
+    """Packed text grows many times when it is read, so files share a task up to a small split only."""
+    option = "spark.sql.files.maxPartitionBytes"
+    (tmp_path / "e").mkdir()
+    for i in range(12):
+        with gzip.open(tmp_path / "e" / f"{i}.jsonl.gz", "wt") as file:
+            file.write("{}\n")
+    session = spark.newSession()
+    session.conf.unset(option)
+    session.conf.set("spark.sql.files.openCostInBytes", "1000")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    monkeypatch.setattr("watchtide.sources.table.SPLIT_BYTES", 1040)
+    few = read_findings(session, str(tmp_path / "e"))
+    assert few.count() == 12 and few.rdd.getNumPartitions() == 12
+    session.conf.set(option, "64m")
+    assert read_findings(session, str(tmp_path / "e")).rdd.getNumPartitions() == 1
+    assert session.conf.get(option) == "64m"

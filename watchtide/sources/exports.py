@@ -7,6 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from watchtide.functions.text import first_match
 from watchtide.functions.variant import is_object, part
+from watchtide.sources.table import small_splits
 
 LINE = StructType([StructField("raw", StringType())])
 EXPORT_GLOB = "*.jsonl.gz"
@@ -33,8 +34,10 @@ def read_findings(spark: SparkSession, path: str, partitions: int | None = None)
     """Export files under ``path`` and its account/region sub-folders.
 
     A gzip file is one task, however large. Give ``partitions`` to spread the parsing when files are few and big;
-    with many files the scan is already parallel and a shuffle of the raw text would only cost.
+    with many files the scan is already parallel and a shuffle of the raw text would only cost. Files share a task up
+    to the split size of the session, which ``small_splits`` keeps small: packed text grows twentyfold when it is read.
     """
+    small_splits(spark)
     lines = spark.read.schema("raw STRING").option("recursiveFileLookup", "true").text(path)
     lines = lines.filter(F.trim("raw") != "")
     return parse_lines(lines.repartition(partitions) if partitions else lines)
