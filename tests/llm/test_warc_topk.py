@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from watchtide.llm.topk import TopK, top_k
+from watchtide.llm.topk import TopK, _packed, _unpacked, top_k
 from watchtide.llm.warc import WarcReader, _Files, archive, read_warc, register
 
 PAGES = [
@@ -143,6 +143,18 @@ def test_top_k_equals_brute_force(spark, rule):
     assert top(spark, rows, rule) == plain_top(rows, 4)
 
 
+def test_top_k_broadcasts_no_copies_of_blocks(spark):
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(40)], "vec_id long, embedding array<float>")
+    found = top_k(rows, F.col("vec_id") % 2 == 0, TopK(k=2, query_rows=4, vector_rows=4))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("top", [0, 3, 2**15 - 1, 2**15, 2**31, 2**60])
+def test_packed_numbers_stay_whole(top):
+    data = np.array([[top, -top, 1], [0, -1, top]], np.float64)
+    assert (_unpacked(_packed(data), 2, 3) == data).all()
+
+
 def test_top_k_edges(spark):
     rows = [
         (0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (None, [1.0, 1.0]), (4, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (8, []), (9, []),

@@ -2,7 +2,8 @@
 
 Vectors are quantised to integers, so scores are exact. Both sides are packed into blocks where they lie, dealt to a
 grid of tiles, and every tile multiplies its blocks as matrices and keeps the best of each query. Tiles share no
-state; a lost one is computed again.
+state; a lost one is computed again. Blocks meet in a merge join: copies of the query blocks are as many as there are
+blocks of vectors, which no driver could hold for a broadcast.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from watchtide.storage import stored
 
 _BLOCK = "dim int, place bigint, ids binary, data binary"
 _EXACT = 2.0**53
+#: Blocks of queries that lie in one line of the grid, so that a block of vectors is sent once for all of them.
+_ABREAST = 8
+_KINDS = {np.dtype(kind).itemsize: np.dtype(kind) for kind in (np.int16, np.int32, np.float64)}
 
 
 @dataclass(frozen=True)
@@ -34,6 +38,18 @@ class TopK:
     fan_in: int = 16
 
 
+def _packed(data: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as hold all of them."""
+    top = float(np.abs(data).max()) if data.size else 0.0
+    return data.astype(_KINDS[2 if top < 2**15 else 4 if top < 2**31 else 8]).tobytes()
+
+
+def _unpacked(data: bytes, rows: int, dim: int) -> np.ndarray:
+    """Doubles of ``_packed`` numbers, a row for each vector; the length of the data tells their kind."""
+    kind = _KINDS[len(data) // (rows * dim)] if data else np.dtype(np.float64)
+    return np.frombuffer(data, kind).astype(np.float64).reshape(rows, dim)
+
+
 def _blocks(rows: DataFrame, most: int) -> DataFrame:
     """Rows ``(id, parts)`` packed into blocks of at most ``most`` rows of one dimension, in their own partitions."""
 
@@ -45,7 +61,7 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
                     part = group.iloc[i : i + most].sort_values("id", kind="stable")
                     ids = part["id"].to_numpy(np.int64)
                     data = np.stack(part["parts"].to_numpy()).astype(np.float64) if dim else np.empty((len(part), 0))
-                    yield pd.DataFrame({"dim": [dim], "place": [0], "ids": [ids.tobytes()], "data": [data.tobytes()]})
+                    yield pd.DataFrame({"dim": [dim], "place": [0], "ids": [ids.tobytes()], "data": [_packed(data)]})
 
     packed = rows.mapInPandas(of, _BLOCK)
     return packed.withColumn("place", F.xxhash64("dim", "ids", "data"))
@@ -77,8 +93,7 @@ def _tiles(rule: TopK):
         for batch in batches:
             for dim, node, query_ids, query_data, ids, data in batch.itertuples(index=False):
                 own, other = np.frombuffer(query_ids, np.int64), np.frombuffer(ids, np.int64)
-                queries = np.frombuffer(query_data).reshape(len(own), dim)
-                scores = _scores(queries, np.frombuffer(data).reshape(len(other), dim))
+                scores = _scores(_unpacked(query_data, len(own), dim), _unpacked(data, len(other), dim))
                 best = []
                 for query, row in zip(own, scores):
                     others = np.flatnonzero(other != query)
@@ -118,12 +133,12 @@ def top_k(vectors: DataFrame, is_query: Column, rule: TopK = TopK(), id: str = "
     rows = vectors.filter(vectors[id].isNotNull() & sound).select(vectors[id].cast("bigint").alias("id"), parts.alias("parts"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     queries = rows.filter("is_query").groupBy("id").agg(F.min("parts").alias("parts"))
     counts = rows.agg(F.count("*"), F.count_if("is_query")).first()
-    grid = [math.ceil(max(1, n) / size) for n, size in zip(counts, (rule.vector_rows, rule.query_rows))]
+    grid = [math.ceil(max(1, n) / size) for n, size in zip(counts, (rule.vector_rows, rule.query_rows * _ABREAST))]
     own = stored(_blocks(queries, rule.query_rows), "queries").select("dim", F.pmod("place", F.lit(grid[1])).alias("across"), F.col("ids").alias("query_ids"), F.col("data").alias("query_data"))
     other = _blocks(rows.select("id", "parts"), rule.vector_rows).select("dim", F.pmod("place", F.lit(grid[0])).alias("node"), "ids", "data")
     # Every block meets every block of the other side once: each side names its own line of the grid and all crossing ones.
     own = own.withColumn("node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid[0] - 1).cast("bigint"))))
     other = other.withColumn("across", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid[1] - 1).cast("bigint"))))
-    tiles = other.join(own, ["dim", "node", "across"]).select("dim", "node", "query_ids", "query_data", "ids", "data")
+    tiles = other.join(own.hint("merge"), ["dim", "node", "across"]).select("dim", "node", "query_ids", "query_data", "ids", "data")
     lists = tiles.mapInPandas(_tiles(rule), "query_id bigint, node bigint, vec_id bigint, score bigint")
     return _merged(lists, rule, grid[0])
