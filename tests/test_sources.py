@@ -21,6 +21,15 @@ def test_a_streamed_export_grows_in_lines_before_it_grows_in_files():
     assert [S.task_count(n, 8) for n in (1_000, 600_000, 36_000_000)] == [8, 12, 720]
 
 
+def test_the_bare_export_has_the_files_of_a_streamed_one(spark, monkeypatch):
+    """Stores read it three or four files per trigger: with 50,000 lines a file a large export had 240 triggers."""
+    for name, value in (("TASK_LINES", 10), ("LONGEST_FILE", 50), ("STREAMED", 12), ("_STORED", {})):
+        monkeypatch.setattr(S, name, value)
+    assert S.given(spark, SF, "events").count() == 1000
+    read = spark.read.text(S.finding_export(spark, SF))
+    assert len(read.inputFiles()) == 20 and read.count() == 1000
+
+
 def test_an_export_is_packed_at_the_fastest_level(spark, tmp_path):
     """Less time to write, more bytes, the same rows."""
     lines = S.export_lines(spark, SF, 1)
