@@ -48,6 +48,36 @@ def test_a_repeated_key_keeps_its_last_value(spark):
     assert (row.e, row.contract_error) == ('{"id":"last"}', None)
 
 
+ODD_LINES = (
+    "null", "1", "-0.0", "01", "1e400", "NaN", "[NaN]", '{"a":+1}', '{"a":.5}', '{"a":-Infinity}', '{"a":INF}', "[]", "{}", "[1,2", '{"a":1}x',
+    '{"a":1} {"b":2}', '{"a":1,}', "{'a':1}", '{"a":\'b\'}', "{a:1}", '{"a":1,"a":2}', '{"a":"\\u00e9\\ud83d\\ude00"}', '{"a":"\\ud800"}',
+    '{"a":"\\x"}', '{"a":"tab\there"}', '{"a":"\x01"}', '{"a":1/*c*/}', "#c", "\ufeff{}", '\x00{"a":1}', '{"a":1}\x00', '{"a":0.10,"b":1.50,"c":1E2}',
+    '{"a":123456789012345678901234567890123456789012345678901234567890}', '{"b":1,"a":{"é":null}}', "[" * 1200 + "]" * 1200, '{"a":"unterminated',
+)
+
+
+def test_lines_are_read_as_strictly_as_one_parser_for_each_reads_them(spark):
+    read = lines(spark, *ODD_LINES)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in plan and "parseJson" not in plan
+    text = lambda column: (F.to_json(column), F.schema_of_variant(column))
+    both = read.select("raw", F.array(*text("event")).alias("one"), F.array(*text(F.try_parse_json("raw"))).alias("other"), "contract_error").collect()
+    assert len(both) == len(ODD_LINES) and [r.raw for r in both if r.one != r.other] == []
+    assert all((r.one == [None, None]) == (r.contract_error == "line is not valid JSON") for r in both)
+    assert 10 < sum(r.contract_error is None for r in both) < len(both) - 10
+
+
+def test_spread_lines_are_not_sorted_first(spark, tmp_path):
+    """Dealing in turn would sort the text of a file in the one task that unpacks it; equal lines still part."""
+    with gzip.open(tmp_path / "a.gz", "wt") as f:
+        f.write("{}\n" * 4000)
+    read = read_findings(spark, str(tmp_path), partitions=4)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan and "hashpartitioning" in plan
+    sizes = [len(part) for part in read.select("raw").rdd.glom().collect()]
+    assert sum(sizes) == 4000 and min(sizes) > 800
+
+
 def test_batch_envelopes(spark, finding):
     other = changed(finding, id="f2")
     rows = explode_batches(
